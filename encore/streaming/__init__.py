@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The method reads batch Parquet only: there is no stream source, watermark,
+windowed or stateful operator to rebuild. Nothing is added here so that the
+package does only what the method does.
+"""
