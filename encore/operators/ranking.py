@@ -145,20 +145,29 @@ def list_metrics(
     user_col: str = USER,
     item_col: str = "item",
     pos_col: str = "pos",
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Per-user metrics for per-user prediction lists in long form.
 
     ``predictions``: ``(user, pos, item)`` with ``pos`` unique per user (a
     list of bounded length, e.g. a model's top-k); ``labels``: ``(user,
     item)``. Evaluated users are those with both a prediction and a label
-    (the inner join of the two lists).
+    (the inner join of the two lists), or the ``users`` given; a given user
+    without labels scores 0.
     """
     distinct_labels = labels.select(user_col, item_col).distinct()
     hits = predictions.join(distinct_labels, on=[user_col, item_col], how="inner").select(user_col, pos_col)
-    users = label_counts(distinct_labels, user_col, item_col).join(
-        predictions.select(user_col).distinct(), on=user_col, how="left_semi"
-    )
-    return per_user_metrics(runs_from_hits(hits, user_col, pos_col), users, k, user_col, unit_runs=True)
+    counts = label_counts(distinct_labels, user_col, item_col)
+    if users is None:
+        evaluated = counts.join(predictions.select(user_col).distinct(), on=user_col, how="left_semi")
+    else:
+        evaluated = (
+            users.select(user_col)
+            .distinct()
+            .join(counts, on=user_col, how="left")
+            .select(user_col, F.coalesce(F.col("n_labels"), F.lit(0)).alias("n_labels"))
+        )
+    return per_user_metrics(runs_from_hits(hits, user_col, pos_col), evaluated, k, user_col, unit_runs=True)
 
 
 def shared_list_metrics(
