@@ -5,8 +5,11 @@ frequent first, ties by the value ascending: the order of ``StringIndexer``
 with ``stringOrderType='frequencyDesc'``. Unlike ``StringIndexer`` the
 vocabulary never passes through the driver: the counts are sorted by a
 range-partitioned sort, each task numbers its own rows, and task offsets come
-from a table with one row per task. Applying the index is a join (broadcast
-when AQE measures the mapping as small, a shuffle join otherwise).
+from a table with one row per task. Like an estimator's ``fit`` it runs a
+job: the mapping is written to the shared checkpoint folder, so every later
+use reads that table instead of re-running the count and sort. Applying the
+index is a join (broadcast when AQE measures the mapping as small, a shuffle
+join otherwise).
 """
 
 from __future__ import annotations
@@ -42,16 +45,13 @@ def dense_ranks(df: DataFrame, order: list, index_col: str = "index") -> DataFra
 
 @dataclass
 class IndexModel:
-    """A fitted dense index: ``mapping`` has ``(label, index)`` columns."""
+    """A fitted dense index: ``mapping`` has ``(label, frequency, index)``
+    columns and ``size`` labels (index ``size`` is the invalid bucket)."""
 
     mapping: DataFrame
     input_col: str
     output_col: str
-
-    @property
-    def size(self):
-        """Number of labels, as a scalar-subquery column."""
-        return self.mapping.agg(F.count(F.lit(1))).scalar()
+    size: int
 
     def transform(self, df: DataFrame, handle_invalid: str = "keep") -> DataFrame:
         """Add ``output_col`` (DOUBLE) to ``df``.
@@ -69,7 +69,7 @@ class IndexModel:
             raise ValueError("handle_invalid must be 'keep' or 'skip'")
         joined = df.join(mapping, on=self.input_col, how="left")
         return joined.select(
-            *df.columns, F.coalesce(F.col("_index"), self.size).cast("double").alias(self.output_col)
+            *df.columns, F.coalesce(F.col("_index"), F.lit(self.size)).cast("double").alias(self.output_col)
         )
 
     def save(self, path: str) -> str:
@@ -78,11 +78,8 @@ class IndexModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, input_col: str, output_col: str) -> "IndexModel":
-        return cls(spark.read.parquet(path), input_col, output_col)
-
-    def materialized(self, name: str = "index") -> "IndexModel":
-        """The same index with its mapping written to the checkpoint folder."""
-        return IndexModel(materialize(self.mapping, name), self.input_col, self.output_col)
+        mapping = spark.read.parquet(path)
+        return cls(mapping, input_col, output_col, mapping.count())
 
     def to_string_indexer(self, max_labels: int = 1_000_000, handle_invalid: str = "keep") -> StringIndexerModel:
         """An equivalent ``StringIndexerModel`` for pyspark.ml pipelines.
@@ -99,16 +96,21 @@ class IndexModel:
         )
 
 
+def index_mapping(df: DataFrame, input_col: str) -> DataFrame:
+    """The lazy ``(label, frequency, index)`` table of ``fit_index``."""
+    counts = df.where(F.col(input_col).isNotNull()).groupBy(input_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = dense_ranks(counts, [F.col("_n").desc(), F.col(input_col).asc()], "index")
+    return ranked.select(F.col(input_col).alias("label"), F.col("_n").alias("frequency"), "index")
+
+
 def fit_index(df: DataFrame, input_col: str, output_col: str | None = None) -> IndexModel:
     """Fit a frequency-descending dense index on ``input_col`` (M1).
 
-    NULLs are not labels. The mapping is lazy; call ``materialized()`` to
-    pin it when it is used by several jobs.
+    NULLs are not labels. Runs one job that writes the mapping to the shared
+    checkpoint folder; the label count is read from the written table.
     """
-    counts = df.where(F.col(input_col).isNotNull()).groupBy(input_col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = dense_ranks(counts, [F.col("_n").desc(), F.col(input_col).asc()], "index")
-    mapping = ranked.select(F.col(input_col).alias("label"), F.col("_n").alias("frequency"), "index")
-    return IndexModel(mapping, input_col, output_col or f"{input_col}_index")
+    mapping = materialize(index_mapping(df, input_col), f"{input_col}_index")
+    return IndexModel(mapping, input_col, output_col or f"{input_col}_index", mapping.count())
 
 
 def fit_shared_index(train: DataFrame, test: DataFrame, input_col: str, output_col: str | None = None) -> IndexModel:

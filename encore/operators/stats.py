@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.sources.parquet import materialize
+
 USER = "user_id"
 SONG = "recording_id"
 
@@ -91,12 +93,15 @@ def listener_histogram(listens: DataFrame, user_col: str = USER, item_col: str =
     ``buckets`` (DOUBLE) is the bin's offset from the smallest count, as a
     unit-split bucketizer numbers it; ``unique_user_count`` is the bin's
     count itself; ``frequency`` the number of songs. Empty bins have no row.
-    The smallest count enters as a scalar subquery over the (small)
-    count-of-counts table, so one song alone gives bucket 0 rather than an
-    error.
+    The count-of-counts table (at most one row per distinct count) is
+    written once (one job); the smallest count is a scalar subquery over
+    it, so the log is aggregated once, and one song alone gives bucket 0
+    rather than an error.
     """
     per_song = listens.groupBy(item_col).agg(F.countDistinct(user_col).alias("unique_user_count"))
-    freq = per_song.groupBy("unique_user_count").agg(F.count(F.lit(1)).alias("frequency"))
+    freq = materialize(
+        per_song.groupBy("unique_user_count").agg(F.count(F.lit(1)).alias("frequency")), "listener_counts"
+    )
     lowest = freq.agg(F.min("unique_user_count")).scalar()
     return freq.select(
         (F.col("unique_user_count") - lowest).cast("double").alias("buckets"),

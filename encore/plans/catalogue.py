@@ -43,23 +43,36 @@ ALS_SEED = 42
 
 
 def listens(spark: SparkSession, sf: str, split: str | None = None) -> DataFrame:
-    inter, trk, _ = fixtures.dataset(spark, sf, split)
-    return prep.canonical_listens(trk, inter)
+    return prep.canonical_listens(fixtures.tracks(spark, sf), fixtures.interactions(spark, sf, split))
 
 
 def pruned(spark: SparkSession, sf: str, split: str) -> DataFrame:
     return prep.prune_rare(listens(spark, sf, split), SPLIT_BOUND, SPLIT_BOUND)
 
 
-def song_index(spark: SparkSession, sf: str) -> indexing.IndexModel:
-    return indexing.fit_shared_index(
-        pruned(spark, sf, "train"), pruned(spark, sf, "test"), "recording_id", "recording_id_index"
-    )
+def written_logs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Pruned train and test logs written to the shared checkpoint folder.
+
+    For queries that read a pruned log more than once (the index fit and
+    the ratings built with it), so the pruning runs once per split.
+    """
+    return {split: materialize(pruned(spark, sf, split), f"{split}_listens") for split in ("train", "test")}
+
+
+def song_index(spark: SparkSession, sf: str, logs: dict[str, DataFrame] | None = None) -> indexing.IndexModel:
+    logs = logs or {split: pruned(spark, sf, split) for split in ("train", "test")}
+    return indexing.fit_shared_index(logs["train"], logs["test"], "recording_id", "recording_id_index")
+
+
+def ratings_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test ratings over one shared index, from written logs."""
+    logs = written_logs(spark, sf)
+    index = song_index(spark, sf, logs)
+    return tuple(prep.user_item_ratings(index.transform(logs[split])) for split in ("train", "test"))
 
 
-def ratings(spark: SparkSession, sf: str, split: str, index: indexing.IndexModel | None = None) -> DataFrame:
-    index = index or song_index(spark, sf)
-    return prep.user_item_ratings(index.transform(pruned(spark, sf, split)))
+def ratings(spark: SparkSession, sf: str, split: str) -> DataFrame:
+    return ratings_pair(spark, sf)[0 if split == "train" else 1]
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -106,14 +119,13 @@ def q_user_item_ratings(spark, sf):
 
 
 def q_known_test_rows(spark, sf):
-    index = song_index(spark, sf)
-    known = prep.known_test_rows(ratings(spark, sf, "train", index), ratings(spark, sf, "test", index))
-    return rounded(known, "avg_rating")
+    train, test = ratings_pair(spark, sf)
+    return rounded(prep.known_test_rows(train, test), "avg_rating")
 
 
 def q_unseen_test_ids(spark, sf):
-    index = song_index(spark, sf)
-    return prep.unseen_report(ratings(spark, sf, "train", index), ratings(spark, sf, "test", index))
+    train, test = ratings_pair(spark, sf)
+    return prep.unseen_report(train, test)
 
 
 def q_id_profile(spark, sf):
@@ -172,7 +184,9 @@ def q_popularity_precision_by_user(spark, sf):
 
 
 def q_popularity_metrics_by_split(spark, sf):
-    train, validation = splits.split_by_time(pruned(spark, sf, "train"), TIME_QUANTILE)
+    labelled = materialize(splits.label_by_time(pruned(spark, sf, "train"), TIME_QUANTILE), "time_split")
+    train = labelled.where(F.col("split") == "train").drop("split")
+    validation = labelled.where(F.col("split") == "test").drop("split")
     top = popularity.recommend(train, K)
     held_out = {"train": train, "validation": validation, "test": pruned(spark, sf, "test")}
     return popularity.evaluate_splits(held_out, top, K, "reference", DECIMALS)
@@ -196,10 +210,11 @@ def q_loaded_listens(spark, sf):
 
 
 def q_index_round_trip(spark, sf):
+    logs = written_logs(spark, sf)
     path = scratch_path(spark, "song_index")
-    song_index(spark, sf).save(path)
+    song_index(spark, sf, logs).save(path)
     loaded = indexing.IndexModel.load(spark, path, "recording_id", "recording_id_index")
-    return loaded.transform(pruned(spark, sf, "test"))
+    return loaded.transform(logs["test"])
 
 
 # ---------------------------------------------------------- model queries
@@ -207,9 +222,7 @@ def q_index_round_trip(spark, sf):
 
 @functools.lru_cache(maxsize=4)
 def _als_fit(spark: SparkSession, sf: str):
-    index = song_index(spark, sf).materialized("song_index")
-    train = materialize(ratings(spark, sf, "train", index), "train_ratings")
-    test = materialize(ratings(spark, sf, "test", index), "test_ratings")
+    train, test = (materialize(r, name) for r, name in zip(ratings_pair(spark, sf), ("train_ratings", "test_ratings")))
     est = factors.als(rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED)
     return factors.fit(est, train), train, test
 

@@ -40,13 +40,13 @@ def prepared_logs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
 
 def ratings_tables(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
     """Indexed ratings of both splits; user ids are indexed when they exceed 32 bits."""
-    index = indexing.fit_shared_index(train, test, "recording_id", "recording_id_index").materialized("song_index")
+    index = indexing.fit_shared_index(train, test, "recording_id", "recording_id_index")
     train_r = materialize(prep.user_item_ratings(index.transform(train)), "train_ratings")
     test_r = materialize(prep.user_item_ratings(index.transform(test)), "test_ratings")
     bounds = train_r.unionByName(test_r).agg(F.min("user_id"), F.max("user_id")).first()
     wide = bounds[0] is not None and (bounds[0] < 0 or bounds[1] > INT_MAX)
     if wide:
-        users = factors.index_users(train_r.unionByName(test_r)).materialized("user_index")
+        users = factors.index_users(train_r.unionByName(test_r))
         train_r = users.transform(train_r.withColumn("user_id", F.col("user_id").cast("string")), "skip")
         test_r = users.transform(test_r.withColumn("user_id", F.col("user_id").cast("string")), "skip")
     return train_r, test_r, wide
