@@ -135,15 +135,44 @@ def recommend_for(model: ALSModel, users: DataFrame, k: int = DEFAULT_K, user_co
     return explode_recommendations(model.recommendForUserSubset(users.select(user_col).distinct(), k), user_col, item_col)
 
 
-def prediction_arrays(recs: DataFrame, item_col: str = ITEM) -> DataFrame:
-    """``(user_id, predictions array<double>)`` from ALS output.
+def prediction_arrays(recs: DataFrame, item_col: str = ITEM, user_col: str = USER) -> DataFrame:
+    """``(user_id, predictions array<double>, scores array<float>)`` from ALS top-k output.
 
-    A higher-order function and a native cast; no Python UDF.
+    Item ids through a higher-order function (F7) and a native cast (F8, in
+    place of a Python UDF, X1); scores through struct-field access on the
+    array (P12). Arrays are bounded by k.
     """
     return recs.select(
-        F.col(USER),
+        F.col(user_col),
         F.transform("recommendations", lambda x: x[item_col]).cast(T.ArrayType(T.DoubleType())).alias("predictions"),
+        F.col("recommendations.rating").alias("scores"),
+    )
+
+
+def hits_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
+    """Hits ``(user, pos)`` of long-form recommendations in the test rows, as SQL.
+
+    Both inputs are registered as temp views and joined in Spark SQL; the
+    plan is the same as the DataFrame join.
+    """
+    suffix = abs(hash((id(recs_long), id(test)))) % 10**9
+    preds, truth = f"predictions_{suffix}", f"groundtruth_{suffix}"
+    recs_long.createOrReplaceTempView(preds)
+    test.select(user_col, F.col(item_col).cast("double").alias(item_col)).distinct().createOrReplaceTempView(truth)
+    return spark.sql(
+        f"SELECT p.{user_col}, p.pos FROM {truth} g INNER JOIN {preds} p "
+        f"ON g.{user_col} = p.{user_col} AND g.{item_col} = p.{item_col}"
+    )
+
+
+def ranking_scores_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, k: int = DEFAULT_K, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
+    """``ranking_scores`` with the hit join written in SQL."""
+    hits = hits_sql(spark, recs_long, test, user_col, item_col)
+    labels = test.select(user_col, F.col(item_col).cast("double").alias("item"))
+    users = ranking.label_counts(labels.distinct(), user_col, "item").join(
+        recs_long.select(user_col).distinct(), on=user_col, how="left_semi"
     )
+    return ranking.per_user_metrics(ranking.runs_from_hits(hits, user_col), users, k, user_col, unit_runs=True)
 
 
 def ranking_scores(recs_long: DataFrame, test: DataFrame, k: int = DEFAULT_K, user_col: str = USER, item_col: str = ITEM) -> DataFrame:

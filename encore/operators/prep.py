@@ -133,6 +133,16 @@ def id_profile(df: DataFrame, col: str = USER) -> DataFrame:
     )
 
 
+def ratings_profile(ratings: DataFrame, user_col: str = USER, item_col: str = "recording_id_index") -> DataFrame:
+    """Id ranges of a ratings table (D8, A16): user min/max/count, largest item index."""
+    return ratings.agg(
+        F.min(user_col).alias("min"),
+        F.max(user_col).alias("max"),
+        F.count(user_col).alias("count"),
+        F.max(item_col).alias("max_item_index"),
+    )
+
+
 def lookup_user(df: DataFrame, user_id: int, user_col: str = USER) -> DataFrame:
     """Rows of one user (P9); the predicate reaches the scan when it can."""
     return df.where(F.col(user_col) == F.lit(user_id))

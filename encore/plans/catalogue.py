@@ -132,6 +132,10 @@ def q_id_profile(spark, sf):
     return prep.id_profile(listens(spark, sf), "user_id")
 
 
+def q_ratings_id_profile(spark, sf):
+    return prep.ratings_profile(ratings(spark, sf, "train"))
+
+
 def q_user_lookup(spark, sf):
     rows = prep.lookup_user(ratings(spark, sf, "train"), LOOKUP_USER)
     return rows.select(
@@ -248,6 +252,19 @@ def q_als_metrics(spark, sf):
     return ranking.mean_metrics(per_user, K, DECIMALS)
 
 
+def q_als_metrics_sql(spark, sf):
+    fitted, _, test = _als_fit(spark, sf)
+    per_user = factors.ranking_scores_sql(spark, factors.recommend_all(fitted.model, K), test, K)
+    return ranking.mean_metrics(per_user, K, DECIMALS)
+
+
+def q_als_prediction_arrays(spark, sf):
+    fitted, _, _ = _als_fit(spark, sf)
+    path = scratch_path(spark, "predictions")
+    write_table(factors.prediction_arrays(fitted.model.recommendForAllUsers(K)), path)
+    return read_table(spark, path)
+
+
 def q_als_grid(spark, sf):
     _, train, _ = _als_fit(spark, sf)
     est = factors.als(rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED)
@@ -319,6 +336,9 @@ WHERE user_id IN (SELECT user_id FROM train5_ratings)
     + """SELECT u.n AS unseen_users, i.n AS unseen_items, u.n > 0 AS has_unseen_users, i.n > 0 AS has_unseen_items
 FROM u, i""",
     "id_profile": O.with_(O.BASE) + 'SELECT min(user_id) AS "min", max(user_id) AS "max", count(user_id) AS "count" FROM listens',
+    "ratings_id_profile": O.with_(*_RATINGS)
+    + """SELECT min(user_id) AS "min", max(user_id) AS "max", count(user_id) AS "count",
+       max(recording_id_index) AS max_item_index FROM train5_ratings""",
     "user_lookup": O.with_(*_RATINGS)
     + f"""SELECT CAST(user_id AS INTEGER) AS user_id, {_r('avg_rating')},
        CAST(recording_id_index AS INTEGER) AS recording_id_index
@@ -426,6 +446,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "known_test_rows": q_known_test_rows,
     "unseen_test_ids": q_unseen_test_ids,
     "id_profile": q_id_profile,
+    "ratings_id_profile": q_ratings_id_profile,
     "user_lookup": q_user_lookup,
     "song_play_counts": q_song_play_counts,
     "user_play_counts": q_user_play_counts,
@@ -446,6 +467,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_subset_recommendations": q_als_subset_recommendations,
     "als_rmse": q_als_rmse,
     "als_metrics": q_als_metrics,
+    "als_metrics_sql": q_als_metrics_sql,
+    "als_prediction_arrays": q_als_prediction_arrays,
     "als_grid": q_als_grid,
     "model_comparison": q_model_comparison,
 }
