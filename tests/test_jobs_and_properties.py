@@ -69,8 +69,7 @@ def test_ratings_sum_to_one(spark):
 
 
 def test_als_outputs(spark):
-    index = catalogue.song_index(spark, SF_SMOKE)
-    train = catalogue.ratings(spark, SF_SMOKE, "train", index)
+    train, _ = catalogue.ratings_pair(spark, SF_SMOKE)
     fitted = factors.fit(factors.als(rank=4, max_iter=3), train)
     recs = factors.recommend_all(fitted.model, 5)
     # at most k distinct items per user, in descending score
