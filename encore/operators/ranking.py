@@ -32,6 +32,20 @@ from encore.functions.columns import gain_sum, harmonic_gap, ideal_dcg
 
 USER = "user_id"
 METRIC_COLUMNS = ["precision_at_k", "map", "map_at_k", "ndcg_at_k"]
+# Largest shared list that is broadcast to every task; a longer one is joined
+# by a shuffle join instead.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """``(df, n)``: ``df`` marked for broadcast when its ``n`` rows are at most ``max_rows``.
+
+    Counts the rows first (one small job), so the broadcast is backed by a
+    checked size; beyond the bound the frame is returned unmarked and AQE
+    plans a shuffle join.
+    """
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
 
 
 # ---------------------------------------------------------------- run sums
@@ -181,11 +195,12 @@ def shared_list_metrics(
     """Per-user metrics when every user gets the same list ``ranked``.
 
     ``ranked``: ``(pos, item)`` with distinct items, e.g. a top-k popularity
-    list; it is broadcast, which is safe because its size is the list length.
+    list; it is broadcast after its size is checked (``bounded_broadcast``).
     Every user with a label is evaluated.
     """
     distinct_labels = labels.select(user_col, item_col).distinct()
-    hits = distinct_labels.join(F.broadcast(ranked.select(pos_col, item_col)), on=item_col, how="inner")
+    shared, _ = bounded_broadcast(ranked.select(pos_col, item_col))
+    hits = distinct_labels.join(shared, on=item_col, how="inner")
     users = label_counts(distinct_labels, user_col, item_col)
     return per_user_metrics(
         runs_from_hits(hits.select(user_col, pos_col), user_col, pos_col), users, k, user_col, unit_runs=True
@@ -275,8 +290,8 @@ def ordered_list_metrics(
 
     The list of a user is all its ``events`` rows ordered by ``order_cols``
     (repeats kept, each occurrence a position); the label set is the shared
-    ``relevant`` items (distinct, bounded: broadcast). Every user with an
-    event is evaluated, with ``n_labels = |relevant|``.
+    ``relevant`` items (distinct; broadcast after a size check). Every user
+    with an event is evaluated, with ``n_labels = |relevant|``.
 
     Identical events are collapsed into one row with a multiplicity first (a
     partial aggregate); positions come from ``exclusive_prefix_sums``, so no
@@ -286,7 +301,7 @@ def ordered_list_metrics(
     if item_col not in order_cols:
         keys.append(item_col)
     collapsed = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("mult"))
-    rel = F.broadcast(relevant.select(item_col).distinct().withColumn("_hit", F.lit(1)))
+    rel, n_relevant = bounded_broadcast(relevant.select(item_col).distinct().withColumn("_hit", F.lit(1)))
     flagged = collapsed.join(rel, on=item_col, how="left").select(
         *keys,
         F.col("mult"),
@@ -299,11 +314,10 @@ def ordered_list_metrics(
         F.col("mult").cast("bigint").alias("length"),
         F.col("hit_mult_before").alias("before"),
     )
-    n_relevant = relevant.select(item_col).distinct().agg(F.count(F.lit(1))).scalar()
     users = (
         events.where(F.col(user_col).isNotNull())
         .select(user_col)
         .distinct()
-        .select(user_col, n_relevant.alias("n_labels"))
+        .select(user_col, F.lit(n_relevant).cast("bigint").alias("n_labels"))
     )
     return per_user_metrics(runs, users, k, user_col)
