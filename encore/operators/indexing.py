@@ -28,10 +28,13 @@ def dense_ranks(df: DataFrame, order: list, index_col: str = "index") -> DataFra
 
     Distributed: after the global sort, ``monotonically_increasing_id``
     carries (task, row-in-task); each task's offset is the running sum of
-    the sizes of the tasks before it, over a table of one row per task.
+    the sizes of the tasks before it, over a table of one row per task. The
+    sorted rows are checkpointed into the shared checkpoint folder first, so
+    the sizes and the numbering see the same range bounds and task ids.
     """
     numbered = (
         df.orderBy(*order)
+        .checkpoint(eager=True)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     )

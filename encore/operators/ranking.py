@@ -247,9 +247,11 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
     total within a group (collapse identical rows first). A distributed
     prefix sum that tolerates any group size:
 
-    1. range-partition on ``(group, order...)``: a hot group is cut into
-       contiguous ranges over many tasks;
-    2. each task sorts its range and takes local running sums (vectorised);
+    1. range-partition on ``(group, order...)`` and sort each range: a hot
+       group is cut into contiguous ranges over many tasks. The result is
+       checkpointed into the shared checkpoint folder, which fixes the range
+       bounds and task ids for both uses below (and survives executor loss);
+    2. each task takes local running sums over its sorted range (vectorised);
     3. per (task, group) totals form a small table whose running sum over
        tasks gives each range's offset (at most one row per task and group);
     4. the offsets are joined back on (task, group).
@@ -259,6 +261,7 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
         df.where(F.col(group_col).isNotNull())
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
+        .checkpoint(eager=True)
         .withColumn("_part", F.spark_partition_id())
     )
     local_schema = T.StructType(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import factors, indexing, popularity, prep, ranking
-from encore.session import build_session, ensure_checkpoint_dir
+from encore.session import build_session, cluster_conf, ensure_checkpoint_dir
 from encore.sources.parquet import load_dataset, materialize
 
 INT_MAX = 2**31 - 1
@@ -125,10 +125,13 @@ def parse_args(argv: list[str] | None = None):
     p.add_argument("--folds", type=int, default=2)
     p.add_argument("--parallelism", type=int, default=2)
     p.add_argument("--output", default=None)
+    p.add_argument("--input_tb", type=float, default=None, help="input size in TB: sizes shuffles and splits")
+    p.add_argument("--total_cores", type=int, default=8000)
     return p.parse_args(argv)
 
 
 if __name__ == "__main__":
     arguments = parse_args(sys.argv[1:])
-    session = build_session(arguments.spark_session_url, app_name="encore-jobs")
+    sizing = cluster_conf(arguments.input_tb * 1e12, arguments.total_cores) if arguments.input_tb else None
+    session = build_session(arguments.spark_session_url, app_name="encore-jobs", conf=sizing)
     main(arguments, session)

@@ -36,6 +36,26 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(input_bytes: float, executor_cores_total: int = 8000, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of listens.
+
+    Shuffles start with about one partition per ``partition_bytes`` of
+    input (at least two per core) and AQE coalesces them down to the
+    advisory size, so no reducer holds more than a few hundred MB; file
+    splits are sized alike. Skewed join partitions over 256 MB and five times
+    the median are split by AQE.
+    """
+    partitions = max(2 * executor_cores_total, int(input_bytes // partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "encore",
