@@ -25,6 +25,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.kryoserializer.buffer.max": "1g",
+    # checkpoint files of lineage cuts are removed once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Extra settings for a single-machine session only.
