@@ -71,7 +71,7 @@ def prune_rare(
         pairs_ok.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_items")).where(F.col("n_items") > min_items)
     )
     keep = pairs_ok.join(users_ok.select(user_col), on=user_col, how="left_semi")
-    return listens.join(keep, on=[item_col, user_col], how="left_semi")
+    return listens.join(keep, on=[item_col, user_col], how="left_semi").select(*listens.columns)
 
 
 def user_item_ratings(
@@ -99,7 +99,8 @@ def known_test_rows(
     """Test rows whose user and item both occur in train."""
     train_users = train.select(user_col).distinct()
     train_items = train.select(item_col).distinct()
-    return test.join(train_users, on=user_col, how="left_semi").join(train_items, on=item_col, how="left_semi")
+    known = test.join(train_users, on=user_col, how="left_semi").join(train_items, on=item_col, how="left_semi")
+    return known.select(*test.columns)
 
 
 def unseen_ids(train: DataFrame, test: DataFrame, col: str) -> DataFrame:
