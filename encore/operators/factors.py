@@ -169,7 +169,7 @@ def ranking_scores_sql(spark: SparkSession, recs_long: DataFrame, test: DataFram
     """``ranking_scores`` with the hit join written in SQL."""
     hits = hits_sql(spark, recs_long, test, user_col, item_col)
     labels = test.select(user_col, F.col(item_col).cast("double").alias("item"))
-    users = ranking.label_counts(labels.distinct(), user_col, "item").join(
+    users = ranking.label_counts(labels.distinct(), user_col, "item", distinct=True).join(
         recs_long.select(user_col).distinct(), on=user_col, how="left_semi"
     )
     return ranking.per_user_metrics(ranking.runs_from_hits(hits, user_col), users, k, user_col, unit_runs=True)

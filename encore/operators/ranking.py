@@ -147,8 +147,14 @@ def runs_from_hits(hits: DataFrame, user_col: str = USER, pos_col: str = "pos")
     )
 
 
-def label_counts(labels: DataFrame, user_col: str = USER, item_col: str = "item") -> DataFrame:
-    """``(user, n_labels)``: distinct labels per user."""
+def label_counts(labels: DataFrame, user_col: str = USER, item_col: str = "item", distinct: bool = False) -> DataFrame:
+    """``(user, n_labels)``: distinct labels per user.
+
+    ``distinct=True`` declares the rows already distinct, so a plain count
+    replaces a second distinct aggregation.
+    """
+    if distinct:
+        return labels.groupBy(user_col).agg(F.count(item_col).alias("n_labels"))
     return labels.groupBy(user_col).agg(F.countDistinct(item_col).alias("n_labels"))
 
 
@@ -171,7 +177,7 @@ def list_metrics(
     """
     distinct_labels = labels.select(user_col, item_col).distinct()
     hits = predictions.join(distinct_labels, on=[user_col, item_col], how="inner").select(user_col, pos_col)
-    counts = label_counts(distinct_labels, user_col, item_col)
+    counts = label_counts(distinct_labels, user_col, item_col, distinct=True)
     if users is None:
         evaluated = counts.join(predictions.select(user_col).distinct(), on=user_col, how="left_semi")
     else:
@@ -201,7 +207,7 @@ def shared_list_metrics(
     distinct_labels = labels.select(user_col, item_col).distinct()
     shared, _ = bounded_broadcast(ranked.select(pos_col, item_col))
     hits = distinct_labels.join(shared, on=item_col, how="inner")
-    users = label_counts(distinct_labels, user_col, item_col)
+    users = label_counts(distinct_labels, user_col, item_col, distinct=True)
     return per_user_metrics(
         runs_from_hits(hits.select(user_col, pos_col), user_col, pos_col), users, k, user_col, unit_runs=True
     )
@@ -318,7 +324,7 @@ def ordered_list_metrics(
         F.col("hit_mult_before").alias("before"),
     )
     users = (
-        events.where(F.col(user_col).isNotNull())
+        collapsed.where(F.col(user_col).isNotNull())
         .select(user_col)
         .distinct()
         .select(user_col, F.lit(n_relevant).cast("bigint").alias("n_labels"))
