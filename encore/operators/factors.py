@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -155,7 +156,7 @@ def hits_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, user_co
     Both inputs are registered as temp views and joined in Spark SQL; the
     plan is the same as the DataFrame join.
     """
-    suffix = abs(hash((id(recs_long), id(test)))) % 10**9
+    suffix = uuid.uuid4().hex
     preds, truth = f"predictions_{suffix}", f"groundtruth_{suffix}"
     recs_long.createOrReplaceTempView(preds)
     test.select(user_col, F.col(item_col).cast("double").alias(item_col)).distinct().createOrReplaceTempView(truth)
