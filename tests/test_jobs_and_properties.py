@@ -28,6 +28,12 @@ def test_job_popularity(spark, data_dir):
         assert out["n_users"] > 0 and 0.0 <= out["precision_at_k"] <= 1.0
 
 
+def test_job_popularity_by_split(spark, data_dir):
+    out = jobs.main(_args(data_dir, "--task", "1", "--order", "reference", "--time_quantile", "0.8"), spark)
+    assert set(out["splits"]) == {"train", "validation", "test"}
+    assert all(v["n_users"] > 0 for v in out["splits"].values())
+
+
 def test_job_als(spark, data_dir):
     out = jobs.main(_args(data_dir, "--task", "3", "--rank", "4", "--max_iter", "2", "--k", "10"), spark)
     assert out["n_users"] > 0 and out["fit_seconds"] > 0 and out["test_rmse"] >= 0
