@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import factors, indexing, popularity, prep, ranking, splits
 from encore.session import build_session, cluster_conf, ensure_checkpoint_dir
-from encore.sources.parquet import load_dataset, materialize
+from encore.sources.parquet import load_dataset, materialize, temporary_tables
 
 INT_MAX = 2**31 - 1
 
@@ -102,16 +102,18 @@ def task_als(train_r: DataFrame, test_r: DataFrame, user_col: str, args) -> dict
 
 def main(args, spark: SparkSession) -> dict:
     ensure_checkpoint_dir(spark)
-    train, test = prepared_logs(spark, args)
-    if args.task == 1:
-        result = task_popularity(train, test, args)
-    else:
-        train_r, test_r, wide = ratings_tables(train, test)
-        user_col = "user_index" if wide else "user_id"
-        if args.task == 2:
-            result = task_tune(spark, train_r, test_r, user_col, args)
+    # intermediate tables are read only inside this job
+    with temporary_tables(spark):
+        train, test = prepared_logs(spark, args)
+        if args.task == 1:
+            result = task_popularity(train, test, args)
         else:
-            result = task_als(train_r, test_r, user_col, args)
+            train_r, test_r, wide = ratings_tables(train, test)
+            user_col = "user_index" if wide else "user_id"
+            if args.task == 2:
+                result = task_tune(spark, train_r, test_r, user_col, args)
+            else:
+                result = task_als(train_r, test_r, user_col, args)
     print(json.dumps(result, default=str))
     return result
 

@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,18 +63,62 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Paths written by ``materialize``, per application, for ``drop_materialized``.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     A barrier between stages: later actions start from the written files
     instead of recomputing the plan, and the files outlive any executor.
+    The path is recorded so that ``drop_materialized`` can remove it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     write_table(df, path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return read_table(spark, path)
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    """Delete paths through their Hadoop file system (shared storage or local)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for path in paths:
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        if jpath.getFileSystem(conf).delete(jpath, True):
+            removed += 1
+    return removed
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession):
+    """Delete, on exit, the tables ``materialize`` wrote inside the block.
+
+    For jobs: their intermediate tables are read only inside the job.
+    Tables written before the block (still read by other frames) stay.
+    """
+    written = _WRITTEN.setdefault(spark.sparkContext.applicationId, [])
+    start = len(written)
+    try:
+        yield
+    finally:
+        mine = written[start:]
+        del written[start:]
+        _delete(spark, mine)
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete every table this application wrote with ``materialize``.
+
+    Only when no DataFrame reads any of them any more. Returns the number
+    removed.
+    """
+    return _delete(spark, _WRITTEN.pop(spark.sparkContext.applicationId, []))
+
+
 def register_views(**frames: DataFrame) -> None:
     """Register each keyword argument as a temp view of that name."""
     for name, frame in frames.items():

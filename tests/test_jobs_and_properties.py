@@ -51,6 +51,20 @@ def test_job_tuning(spark, data_dir):
     assert out["grid_points"] == 2 and out["best"]["rank"] in (2, 3)
 
 
+def test_temporary_tables_are_dropped(spark):
+    import os
+
+    from encore.sources.parquet import materialize, temporary_tables
+
+    kept = materialize(spark.range(3), "kept")
+    with temporary_tables(spark):
+        df = materialize(spark.range(5), "probe")
+        path = df.inputFiles()[0].replace("file:", "")
+        assert df.count() == 5 and os.path.exists(path)
+    assert not os.path.exists(os.path.dirname(path))
+    assert kept.count() == 3  # written before the block: untouched
+
+
 def test_splits_partition_the_log(spark):
     listens = catalogue.listens(spark, SF_SMOKE)
     n = listens.count()
