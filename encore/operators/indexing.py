@@ -20,6 +20,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from encore.session import ensure_checkpoint_dir
 from encore.sources.parquet import materialize
 
 
@@ -32,6 +33,7 @@ def dense_ranks(df: DataFrame, order: list, index_col: str = "index") -> DataFra
     sorted rows are checkpointed into the shared checkpoint folder first, so
     the sizes and the numbering see the same range bounds and task ids.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     numbered = (
         df.orderBy(*order)
         .checkpoint(eager=True)

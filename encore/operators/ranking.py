@@ -17,6 +17,11 @@ Nothing is collected into per-user arrays. Hits are kept in *run* form
 are all hits, and ``before`` hits precede the run. A plain hit is a run of
 length 1; a block of identical listens is one run, however long, and its sums
 have closed forms (``encore.functions.columns.harmonic_gap``).
+
+Eager steps: ``shared_list_metrics`` and ``ordered_list_metrics`` count the
+shared list before broadcasting it (one small job), and
+``exclusive_prefix_sums`` checkpoints its range-sorted input into the shared
+checkpoint folder (one job). Everything else is lazy.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.columns import gain_sum, harmonic_gap, ideal_dcg
+from encore.session import ensure_checkpoint_dir
 
 USER = "user_id"
 METRIC_COLUMNS = ["precision_at_k", "map", "map_at_k", "ndcg_at_k"]
@@ -263,6 +269,7 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
     4. the offsets are joined back on (task, group).
     """
     keys = [group_col, *order_cols]
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.where(F.col(group_col).isNotNull())
         .repartitionByRange(*keys)
