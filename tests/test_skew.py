@@ -1,7 +1,8 @@
-"""A hot user holding a third of all listens (derived from the sf0.01 log).
+"""A hot user, or a hot song, holding a third of all listens.
 
-Checks that the ordered-list evaluation splits the hot user over several
-range partitions and still equals DuckDB brute force on the same rows.
+Derived from the sf0.01 log. Checks that the ordered-list evaluation splits
+the hot user over several range partitions, and that pruning and both metric
+orders still equal DuckDB brute force on the same rows.
 """
 
 import duckdb
@@ -15,31 +16,33 @@ from encore.plans import oracle as O
 from encore.sources.parquet import write_table
 
 HOT_USER = 1
+HOT_SONG = "hot-song"
 
 
-def _hot_log(spark, split):
-    # about a third of the listens (by a hash of the row) move to one user
+def _hot_log(spark, split, column):
+    # about a third of the listens (by a hash of the row) move to one user or song
     log = catalogue.listens(spark, SF_CHECK, split)
-    return log.withColumn(
-        "user_id",
-        F.when(F.pmod(F.xxhash64("timestamp", "recording_id", "user_id"), F.lit(3)) == 0, F.lit(HOT_USER))
-        .otherwise(F.col("user_id"))
-        .cast("bigint"),
-    )
+    hot_value = F.lit(HOT_USER).cast("bigint") if column == "user_id" else F.lit(HOT_SONG)
+    third = F.pmod(F.xxhash64("timestamp", "recording_id", "user_id"), F.lit(3)) == 0
+    return log.withColumn(column, F.when(third, hot_value).otherwise(F.col(column)))
 
 
-@pytest.fixture(scope="module")
-def hot(spark, tmp_path_factory):
-    folder = tmp_path_factory.mktemp("hot")
+def _write_hot(spark, folder, column):
     paths = {}
     for split in ("train", "test"):
-        path = str(folder / f"{split}.parquet")
-        write_table(_hot_log(spark, split), path)
+        path = str(folder / f"{column}-{split}.parquet")
+        write_table(_hot_log(spark, split, column), path)
         paths[split] = path
     return paths
 
 
-def test_hot_user_spans_range_partitions(spark, hot):
+@pytest.fixture(scope="module", params=["user_id", "recording_id"])
+def hot(spark, tmp_path_factory, request):
+    return _write_hot(spark, tmp_path_factory.mktemp("hot"), request.param)
+
+
+def test_hot_user_spans_range_partitions(spark, tmp_path):
+    hot = _write_hot(spark, tmp_path, "user_id")
     test = spark.read.parquet(hot["test"])
     total = test.count()
     hot_rows = test.where(F.col("user_id") == HOT_USER).count()
@@ -53,7 +56,7 @@ def test_hot_user_spans_range_partitions(spark, hot):
 
 
 @pytest.mark.parametrize("order", ["standard", "reference"])
-def test_hot_user_metrics_equal_brute_force(spark, hot, order):
+def test_hot_key_metrics_equal_brute_force(spark, hot, order):
     train = spark.read.parquet(hot["train"])
     test = spark.read.parquet(hot["test"])
     top = popularity.recommend(train, 100)
@@ -76,7 +79,7 @@ def test_hot_user_metrics_equal_brute_force(spark, hot, order):
         assert got[user] == pytest.approx(values, rel=1e-9, abs=1e-12), user
 
 
-def test_hot_user_pruning_equals_brute_force(spark, hot):
+def test_hot_key_pruning_equals_brute_force(spark, hot):
     log = spark.read.parquet(hot["train"])
     got = sorted(tuple(r) for r in prep.prune_rare(log, 5, 5).collect())
     sql = O.with_(f"src AS (SELECT * FROM read_parquet('{hot['train']}'))", O.prune("src", "pruned", 5))
