@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import factors, indexing, popularity, prep, ranking, splits, stats
+from encore.operators import factors, indexing, popularity, prep, profiling, ranking, splits
 from encore.plans import oracle as O
 from encore.session import scratch_path
 from encore.sources import fixtures
@@ -146,19 +146,19 @@ def q_user_lookup(spark, sf):
 
 
 def q_song_play_counts(spark, sf):
-    return stats.song_play_counts(listens(spark, sf))
+    return profiling.song_play_counts(listens(spark, sf))
 
 
 def q_user_play_counts(spark, sf):
-    return stats.user_play_counts(listens(spark, sf))
+    return profiling.user_play_counts(listens(spark, sf))
 
 
 def q_listen_stats(spark, sf):
-    return rounded(stats.listen_stats(listens(spark, sf)), "mean", "stddev")
+    return rounded(profiling.listen_stats(listens(spark, sf)), "mean", "stddev")
 
 
 def q_listener_histogram(spark, sf):
-    return stats.listener_histogram(listens(spark, sf))
+    return profiling.listener_histogram(listens(spark, sf))
 
 
 def q_global_bias(spark, sf):

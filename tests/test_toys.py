@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from encore.functions.columns import min_max_scale
-from encore.operators import indexing, prep, ranking, splits, stats
+from encore.operators import indexing, prep, profiling, ranking, splits
 
 
 def _long(spark, lists, col):
@@ -61,13 +61,13 @@ def test_unit_histogram(spark):
     for song, n in (("s1", 3), ("s2", 3), ("s3", 4), ("s4", 6)):
         rows += [(u, 0.0, song) for u in range(n)]
     listens = spark.createDataFrame(rows, "user_id long, timestamp double, recording_id string")
-    hist = [(r["buckets"], r["frequency"]) for r in stats.listener_histogram(listens).collect()]
+    hist = [(r["buckets"], r["frequency"]) for r in profiling.listener_histogram(listens).collect()]
     assert hist == [(0.0, 2), (1.0, 1), (3.0, 1)]
 
 
 def test_single_song_histogram_and_zero_range(spark):
     listens = spark.createDataFrame([(1, 0.0, "x"), (2, 0.0, "x")], "user_id long, timestamp double, recording_id string")
-    assert [(r["buckets"], r["frequency"]) for r in stats.listener_histogram(listens).collect()] == [(0.0, 1)]
+    assert [(r["buckets"], r["frequency"]) for r in profiling.listener_histogram(listens).collect()] == [(0.0, 1)]
     df = spark.createDataFrame([(5,)], "v long")
     lo = df.agg(F.min("v")).scalar()
     hi = df.agg(F.max("v")).scalar()
