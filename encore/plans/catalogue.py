@@ -64,11 +64,17 @@ def song_index(spark: SparkSession, sf: str, logs: dict[str, DataFrame] | None =
     return indexing.fit_shared_index(logs["train"], logs["test"], "recording_id", "recording_id_index")
 
 
-def ratings_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test ratings over one shared index, from written logs."""
+def indexed_logs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Written train and test logs with the shared song index applied."""
     logs = written_logs(spark, sf)
     index = song_index(spark, sf, logs)
-    return tuple(prep.user_item_ratings(index.transform(logs[split])) for split in ("train", "test"))
+    return {split: index.transform(logs[split]) for split in ("train", "test")}
+
+
+def ratings_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test ratings over one shared index, from written logs."""
+    logs = indexed_logs(spark, sf)
+    return tuple(prep.user_item_ratings(logs[split]) for split in ("train", "test"))
 
 
 def ratings(spark: SparkSession, sf: str, split: str) -> DataFrame:
@@ -276,7 +282,10 @@ def q_model_comparison(spark, sf):
     from encore.plans.compare import compare_models
 
     _, train, test = _als_fit(spark, sf)
-    return compare_models(spark, train, test, fractions=(0.5, 1.0), k=K, rank=ALS_RANK, max_iter=ALS_ITER)
+    listens = indexed_logs(spark, sf)["train"]
+    return compare_models(
+        spark, train, test, fractions=(0.5, 1.0), k=K, rank=ALS_RANK, max_iter=ALS_ITER, train_listens=listens
+    )
 
 
 # ------------------------------------------------------------------- SQL
