@@ -85,3 +85,26 @@ def test_hot_key_pruning_equals_brute_force(spark, hot):
     sql = O.with_(f"src AS (SELECT * FROM read_parquet('{hot['train']}'))", O.prune("src", "pruned", 5))
     want = sorted(duckdb.sql(sql + 'SELECT user_id, "timestamp", recording_id FROM pruned').fetchall())
     assert got == want
+
+
+def test_hot_user_time_threshold(spark, tmp_path):
+    """The hot user's threshold against an exact quantile (DuckDB quantile_disc)."""
+    from encore.operators import splits
+
+    hot = _write_hot(spark, tmp_path, "user_id")
+    log = spark.read.parquet(hot["train"])
+    exact = dict(
+        duckdb.sql(
+            f"SELECT user_id, quantile_disc(\"timestamp\", 0.8) FROM read_parquet('{hot['train']}') GROUP BY user_id"
+        ).fetchall()
+    )
+    n_hot = log.where(F.col("user_id") == HOT_USER).count()
+    for accuracy, tolerance in ((splits.DEFAULT_ACCURACY, n_hot / splits.DEFAULT_ACCURACY), (10 * n_hot, 0)):
+        got = {r["user_id"]: r["threshold"] for r in splits.time_thresholds(log, 0.8, accuracy=accuracy).collect()}
+        assert set(got) == set(exact)
+        # ordinary users are exact; the hot user is within the rank error bound
+        assert all(got[u] == exact[u] for u in exact if u != HOT_USER)
+        hot_times = sorted(r["timestamp"] for r in log.where(F.col("user_id") == HOT_USER).collect())
+        rank_got = sum(t <= got[HOT_USER] for t in hot_times)
+        rank_exact = sum(t <= exact[HOT_USER] for t in hot_times)
+        assert abs(rank_got - rank_exact) <= max(tolerance, 0) + 1
