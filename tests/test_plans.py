@@ -62,3 +62,13 @@ def test_no_python_udf_in_relational_queries(spark):
     for name in ("canonical_listens", "filter_low_interactions", "popularity_scores", "listen_stats", "user_item_ratings"):
         plan = _plan(spark, catalogue.QUERIES[name](spark, SF_SMOKE))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_job_flags_size_a_cluster_run():
+    from encore.plans import jobs
+
+    args = jobs.parse_args(["--data_dir", "d", "--input_tb", "100", "--total_cores", "4000", "--task", "3"])
+    conf = cluster_conf(args.input_tb * 1e12, args.total_cores)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 8000
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert args.rank == 300 and args.max_iter == 10 and args.min_count == 20
