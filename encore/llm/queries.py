@@ -2,14 +2,41 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from encore.llm import quality, simhash
+from encore.llm import curriculum, quality, records, simhash
 from encore.llm.common import read
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file; ``ENCORE_TOKENIZERS`` names another folder."""
+    folder = os.environ.get("ENCORE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = curriculum.place(read(spark, sf_dir, "documents"), columns=["doc_id"])
+    first = F.round(F.get("positions", F.lit(0)), 6)
+    return placed.select(
+        "doc.doc_id", "size", "source_size", "target", "taken", "copies", first.alias("first_position")
+    ).orderBy("first_position", "doc_id")
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return records.encode_documents(docs, tokenizer("word_bpe_49k.json")).select(
+        "doc_id", "start", "n_tokens", "ids_crc32", "shard", "record_offset", "record_bytes"
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
@@ -19,6 +46,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
+    "op5_token_records": op5_token_records,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
