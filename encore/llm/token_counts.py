@@ -349,8 +349,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, chunk: int = CHU
         F.monotonically_increasing_id().alias("row"),
         F.octet_length(text).cast("long").alias("n_bytes"),
         n_chunks.alias("n_chunks"),
-        F.posexplode(cut).alias("number", "chunk"),
-    )
+        cut.alias("chunks"),
+    ).select("doc_id", "row", "n_bytes", "n_chunks", F.posexplode("chunks").alias("number", "chunk"))
     mapped = rows.select("doc_id", "row", "n_bytes", "n_chunks", "number", chunk_maps(F.col("chunk"), path).alias("m"))
     whole = mapped.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
