@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import curriculum, licenses, quality, records, simhash, token_counts
+from encore.llm import curriculum, decontaminate, licenses, quality, records, simhash, token_counts
 from encore.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("first_position", "doc_id")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return records.encode_documents(docs, tokenizer("word_bpe_49k.json")).select(
@@ -58,6 +62,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_records": op5_token_records,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
