@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import curriculum, decontaminate, licenses, quality, records, simhash, token_counts
+from encore.llm import curriculum, decontaminate, langid, licenses, quality, records, secrets, simhash, token_counts
 from encore.llm.common import read
 
 
@@ -30,6 +30,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("first_position", "doc_id")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labelled = docs.filter(~langid.held_out()).select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), labelled)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "found.lang_pred", "found.score")
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -41,6 +48,10 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(read(spark, sf_dir, "documents"))
     return found.select(
@@ -62,8 +73,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_language_id": op3_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_records": op5_token_records,
+    "op6_secret_scan": op6_secret_scan,
     "op7_license_scan": op7_license_scan,
     "op8_token_counts": op8_token_counts,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
