@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import curriculum, decontaminate, langid, licenses, quality, records, secrets, simhash, token_counts
+from encore.llm import curriculum, decontaminate, langid, licenses, quality, records, secrets, simhash, token_counts, webtext
 from encore.llm.common import read
 
 
@@ -30,6 +30,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy("first_position", "doc_id")
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(read(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     labelled = docs.filter(~langid.held_out()).select("doc_id", "text", "lang")
@@ -73,6 +77,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_html_main_text": op2_html_main_text,
     "op3_language_id": op3_language_id,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_token_records": op5_token_records,

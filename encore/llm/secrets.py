@@ -48,13 +48,14 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 REACH = 60  # code points after a sensitive word in which a candidate may begin
 AROUND = 1500  # code points of text on each side that prime the dictionary
 MIN_NOVEL = 16
-BYTES_A_CHAR = 0.55
+BYTES_A_CHAR = 0.85
 # Names that code is full of; they prime the dictionary.
 IDENTIFIERS = (
     "access_token refresh_token client_secret client_id api_key secret_key private_key public_key password username "
     "authorization bearer credentials signature session cookie config settings environment variable connection string "
     "database host port user default example placeholder changeme your_api_key_here xxxxxxxxxxxxxxxx 0123456789abcdef "
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789 function return import class public static void "
+    "identifier name of the index value number type key item list count total size length path file data info "
     "https http www com org net index html response request header content type application json "
 )
 
@@ -63,7 +64,7 @@ def _cost(text: bytes, primed) -> int:
     import zstandard
 
     made = zstandard.ZstdCompressor(
-        level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False
+        level=9, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False
     )
     return len(made.compress(text)) - len(made.compress(b""))
 
