@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import quality, simhash
+from encore.llm import curriculum, decontaminate, quality, records, simhash
 from encore.llm.common import materialize, read
+from encore.llm.queries import tokenizer
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +27,27 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs, shingle=4, max_distance=4)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no item of ``benchmark`` leaks."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training sequence: documents as often as the mix takes them, by training position."""
+    return curriculum.mix(docs)
+
+
+def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Record files of token ids; one row for each record read back."""
+    return records.encode_documents(docs, tokenizer("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
+    ("token_records", token_records),
 ]
 
 # The stages hash with XXH64, walk random embeddings and tokenize: not SQL.
