@@ -150,11 +150,14 @@ def rules(text: Column | None = None) -> list[Rule]:
                 | (F.length(F.array_join(w, "")) > 15 * F.size(w)),
             ),
         ),
-        # over three lines in ten repeat an earlier line
+        # three lines or more, and over three in ten, repeat an earlier line
         Rule(
             "repeated_lines",
-            10 * n_dup_lines(text)
-            > 3 * F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{SPACE}]"))),
+            let(
+                n_dup_lines(text),
+                lambda n: (n >= 3)
+                & (10 * n > 3 * F.size(F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{SPACE}]")))),
+            ),
         ),
         # at least half of the letters are capitals
         Rule("capitals", (_share(r"[^\p{Lu}]+", text) * 2 >= _share(r"[^\p{L}]+", text)) & text.rlike(r"\p{L}")),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import curriculum, decontaminate, langid, licenses, quality, records, secrets, simhash, token_counts, webtext
+from encore.llm import curriculum, decontaminate, langid, licenses, oracle, quality, records, secrets, simhash, token_counts, webtext
 from encore.llm.common import read
 
 
@@ -88,4 +88,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = oracle.SQL
