@@ -190,11 +190,11 @@ def predicted(text: Column, shared) -> Column:
 
 
 def identify(docs: DataFrame, labelled: DataFrame, **bounds) -> DataFrame:
-    """All columns of ``docs`` beside ``found(lang_pred, score)``."""
+    """``doc_id, lang_pred, score`` for each row of ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(train(labelled, **bounds))
-    return docs.select("*", predicted(F.col("text"), shared).alias("found"))
+    return docs.select("doc_id", predicted(F.col("text"), shared).alias("found")).select("doc_id", "found.*")
 
 
 def held_out() -> Column:

@@ -38,7 +38,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     labelled = docs.filter(~langid.held_out()).select("doc_id", "text", "lang")
     found = langid.identify(docs.select("doc_id", "text"), labelled)
-    return found.select("doc_id", langid.held_out().alias("held_out"), "found.lang_pred", "found.score")
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

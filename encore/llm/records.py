@@ -233,8 +233,8 @@ def read_records(folder: str, records: str, offsets: str) -> Iterator[tuple[int,
             found, crc = struct.unpack(_HEAD, head)
             if at != offset or found != length or masked_crc(head[:8]) != crc:
                 raise RecordError(f"{records}: bad record length at {at}")
-            payload = f.read(length)
-            if len(payload) != length or masked_crc(payload) != struct.unpack("<I", f.read(4))[0]:
+            payload, crc = f.read(length), f.read(4)
+            if len(payload) != length or struct.pack("<I", masked_crc(payload)) != crc:
                 raise RecordError(f"{records}: bad record at {at}")
             yield at, payload
             at += _OVERHEAD + length

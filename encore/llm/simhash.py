@@ -102,7 +102,7 @@ def links(prints: DataFrame, max_distance: int = 4) -> DataFrame:
         *(
             F.struct(
                 F.lit(i).cast("int").alias("variant"),
-                F.shiftrightunsigned("fp", offset).bitwiseAND(F.lit(mask)).alias("bits"),
+                F.shiftrightunsigned("fp", offset).bitwiseAND(F.lit(_signed(mask))).alias("bits"),
             )
             for i, _, offset, mask in variants
         )

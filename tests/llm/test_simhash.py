@@ -1,0 +1,116 @@
+"""SimHash near-dedup against brute force."""
+
+import random
+import re
+
+import pytest
+import xxhash
+
+from encore.llm import simhash
+from util import ODD, docs, rows, table
+
+
+def brute_print(text, k=4):
+    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, limit=4):
+    parent = {p: p for p in prints}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    values = sorted(parent)
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= limit:
+                parent[find(b)] = find(a)
+    return {p: find(p) for p in values}
+
+
+def signed(v):
+    return v - (1 << 64) if v >> 63 else v
+
+
+def test_fingerprint_equals_brute_force():
+    for row in table("documents")[:60]:
+        assert simhash.fingerprint_of(row["text"]) == brute_print(row["text"])
+    for _, text in ODD:
+        assert simhash.fingerprint_of(text) == brute_print(text)
+    assert simhash.fingerprint_of("A B\x0bÉ c d") == brute_print("a b É c D") != simhash.fingerprint_of("a b é c d")
+
+
+def test_whole_table_equals_brute_force(spark):
+    given = table("documents")
+    found = {r["doc_id"]: r for r in simhash.near_duplicates(docs(spark, [(r["doc_id"], r["text"]) for r in given])).collect()}
+    prints = {r["doc_id"]: brute_print(r["text"]) for r in given}
+    root = brute_components(set(prints.values()))
+    least = {}
+    for i, p in prints.items():
+        least[root[p]] = min(i, least.get(root[p], i))
+    assert len(found) == len(given)
+    for i, p in prints.items():
+        assert found[i]["fingerprint"] == f"{p:016x}"
+        assert found[i]["component_id"] == least[root[p]]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 4, 6])
+def test_links_lose_no_pair_and_repeat_none(spark, limit):
+    rng = random.Random(limit)
+    values = {0, (1 << 64) - 1}
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        for _ in range(4):
+            flip = 0
+            for bit in rng.sample(range(64), rng.randrange(limit + 3)):
+                flip |= 1 << bit
+            values.add(base ^ flip)
+    frame = spark.createDataFrame([(signed(v),) for v in values], "fp long")
+    found = [tuple(r) for r in simhash.links(frame, limit).collect()]
+    wanted = {(signed(a), signed(b)) for a in values for b in values if signed(a) < signed(b) and (a ^ b).bit_count() <= limit}
+    assert len(found) == len(set(found)) and set(found) == wanted
+
+
+def test_components_of_chains_stars_and_cycles(spark):
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(50)] + [(200, 201), (201, 202), (202, 200)]
+    names = list(range(1000))
+    rng.shuffle(names)
+    edges = [(names[a], names[b]) for a, b in edges]
+    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    groups = [range(41), range(100, 151), range(200, 203)]
+    for group in groups:
+        members = {names[i] for i in group}
+        assert {found[m] for m in members} == {min(members)}
+    assert len(found) == sum(map(len, groups))
+
+
+def test_odd_rows_ties_and_clashing_columns(spark):
+    found = rows(simhash.near_duplicates(docs(spark, ODD, extra=True)))
+    assert len(found) == len(ODD)
+    zero = [r for r in found if r[1] == "0" * 16]
+    assert len(zero) == 4 and {r[2] for r in zero} == {1}
+    kept = simhash.keep_one(docs(spark, ODD, extra=True))
+    assert kept.columns == docs(spark, ODD, extra=True).columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [
+        (False, 1), (False, 4), (False, 6), (False, 7), (True, 0),
+    ]
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(docs(spark, [])).count() == 0
+    assert simhash.keep_one(docs(spark, [])).count() == 0
+
+
+def test_a_hot_group_of_copies_keeps_one(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    many = [(i, base) for i in range(300)] + [(1000 + i, " ".join(f"x{i}y{j}" for j in range(80))) for i in range(30)]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs(spark, many)).collect()) == [0, *range(1000, 1030)]

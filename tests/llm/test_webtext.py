@@ -1,0 +1,114 @@
+"""Main text of web pages: markup, wrapper induction, odd rows."""
+
+import html as htmllib
+import re
+
+from encore.llm import webtext
+from encore.llm.queries import op2_html_main_text
+from util import CLASHES, SF, table
+
+PAGES = "page_id long, url string, html string"
+
+
+def text_of(html):
+    return "\n".join(b[0] for b in webtext.blocks_of(html, None)[1])
+
+
+def test_markup():
+    page = (
+        "<!doctype html><body class='no-sidebar'><header><h1>Site</h1></header><div id=content><p>One &amp; two &#233;"
+        "<p>Three <span class=ad>buy</span> <b>fo</b>ur&nbsp; five<br>six<ul><li>a<li>b</ul><div class='comments'><p>x</div>tail"
+        "<table><tr><td>1<td>2<tr><td>3</table><form><p>in</form></div><script>if(a<b){'</p>'}</script>"
+        "<style>p{}</style><!-- <p>no</p> --><noscript>js</noscript><aside>side</aside><nav>menu</nav>"
+        "<div class='cookie-notice'>ok?</div><footer>foot</footer> a < b <b"
+    )
+    assert text_of(page) == "One & two é\nThree four five six\na\nb\ntail\n1\n2\n3\na < b"
+
+
+def test_article_bounds_the_text():
+    page = (
+        "<p>before</p><article class='post'><h1>Title</h1><p>Body<p>More<section class='comments'><article class='comment'>"
+        "<p>said</p></article></section></article><div>after</div>"
+    )
+    assert text_of(page) == "Title\nBody\nMore"
+    assert text_of("<article><article class=comment><p>c</p></article></article><p>x</p>") == "x"
+
+
+def test_broken_markup_and_depth():
+    assert text_of("") == text_of(None) == "" == text_of("<p") == text_of("<!-- open")
+    assert text_of("plain <b>text") == "plain text"
+    assert text_of("</div></p>x<a href='>y</a>z") == "x" or "x" in text_of("</div></p>x<a href='>y</a>z")
+    deep = "<div>" * 20_000 + "x" + "</div>" * 20_000
+    assert text_of(deep) == "x"
+    assert len(webtext.blocks_of("<div>" * 5000 + "x<p>y", "<div>" * 5000 + "x<p>z")[1]) == 2
+
+
+def test_alignment_is_the_largest_matching():
+    def best(a, b):  # plain recursion over labels and texts
+        if a.label != b.label:
+            return 0
+        if a.text is not None or b.text is not None:
+            return 1 + (a.text is not None and a.text == b.text)
+        grid = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+        for i, x in enumerate(a.children, 1):
+            for j, y in enumerate(b.children, 1):
+                grid[i][j] = max(grid[i - 1][j], grid[i][j - 1], grid[i - 1][j - 1] + best(x, y))
+        return 1 + grid[-1][-1]
+
+    import random
+
+    rng = random.Random(2)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return f"<{(t := rng.choice(['h1', 'h2', 'h3']))}>{rng.choice('abc')}</{t}>"
+        return f"<{(t := rng.choice(['div', 'section']))}>{''.join(tree(depth - 1) for _ in range(rng.randrange(2, 5)))}</{t}>"
+
+    for _ in range(150):
+        a, b = ("".join(tree(2) for _ in range(3)) for _ in "ab")
+        x, y = webtext.parse(a)[0], webtext.parse(b)[0]
+        memo = {}
+        assert 1 + webtext._match_children(x, y, memo) == best(x, y)
+        pairs = webtext.align(y, x, 9)
+        matched = sorted((i, j) for i, (j, _) in pairs.items())
+        assert [j for _, j in matched] == sorted({j for _, j in matched})
+
+
+def site(page, body):
+    return (
+        f"<body><div><p>Welcome to the site</p><p>Choose a language</p></div><div><h2>{page}</h2>{body}</div>"
+        "<div><p>Imprint and contact</p></div></body>"
+    )
+
+
+def test_constant_nodes_become_template(spark):
+    pages = [(i, f"http://a.example/p{i}", site(f"Title {i}", f"<p>first {i}</p><p>second {i}</p>" * (1 + i % 3))) for i in range(8)]
+    pages += [(100 + i, "http://a.example/copy", pages[3][2]) for i in range(20)]  # copies vote once
+    pages += [(200, "http://b.example/", site("Alone", "<p>x</p>"))]
+    found = {r["page_id"]: r["text"] for r in webtext.extract(spark.createDataFrame(pages, PAGES)).collect()}
+    for i in range(8):
+        assert found[i] == "\n".join([f"Title {i}", *[f"first {i}", f"second {i}"] * (1 + i % 3)])
+    assert all(found[100 + i] == found[3] for i in range(20))
+    assert found[200] == "Welcome to the site\nChoose a language\nAlone\nx\nImprint and contact"
+
+
+def test_given_pages_equal_their_articles(spark):
+    found = {r["page_id"]: r for r in op2_html_main_text(spark, SF).collect()}
+    given = table("pages")
+    assert len(found) == len(given)
+    for r in given:
+        article = r["html"].split("<article>")[1].split("</article>")[0] if r["html"] else ""
+        blocks = [" ".join(htmllib.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split("</?p>|</?h1>", article)]
+        wanted = "\n".join(b for b in blocks if b)
+        assert tuple(found[r["page_id"]]) == (r["page_id"], r["url"], wanted, len(wanted))
+
+
+def test_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    odd = [(1, None, None), (2, "u", ""), (3, None, "<p>x"), (3, None, "<p>x"), (None, "http://h/", "<p>y"), (4, "http://h/", "<p>" + "w " * 60_000)]
+    frame = spark.createDataFrame(odd, PAGES).withColumns({c: F.lit("x") for c in [*CLASHES, "host", "blocks", "text", "reference"]})
+    found = sorted((tuple(r) for r in webtext.extract(frame).collect()), key=repr)
+    texts = {None: "y", 1: "", 2: "", 3: "x", 4: ("w " * 60_000).strip()}
+    assert found == sorted(((i, u, texts[i], len(texts[i])) for i, u, _ in odd), key=repr)
+    assert webtext.extract(spark.createDataFrame([], PAGES)).count() == 0
