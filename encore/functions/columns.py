@@ -29,15 +29,13 @@ def min_max_scale(x: str | Column, lo: Column, hi: Column) -> Column:
     return F.coalesce(F.try_divide(_col(x) - lo, hi - lo), F.lit(0.0))
 
 
-def hash_bucket(key: str | Column, buckets: int = 100) -> Column:
-    """Deterministic bucket in ``[0, buckets)`` of a key.
+def hash_point(key: str | Column) -> Column:
+    """A stable point in ``[0, 1)`` of a key: the first 52 bits of its md5.
 
-    The first 8 hex digits of ``md5(cast(key as string))`` read as an integer,
-    modulo ``buckets``. Independent of partitioning and of the engine, so a
-    split made with it is stable across runs and reproducible in SQL.
+    The same in SQL: ``('0x' || substr(md5(text), 1, 13))::BIGINT / 2^52``.
     """
-    digest = F.md5(_col(key).cast("string"))
-    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+    digits = F.substring(F.md5(_col(key).cast("string").cast("binary")), 1, 13)
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
 def dcg_gain(pos: str | Column) -> Column:

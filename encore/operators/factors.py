@@ -8,7 +8,6 @@ ALS are bounded by k and exploded, labels stay as rows, nothing is collected.
 
 from __future__ import annotations
 
-import itertools
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -53,7 +52,8 @@ def als(
     """An ALS estimator with the method's defaults (M3).
 
     ``alpha`` only acts when ``implicit_prefs`` is on. ``blocks`` sets user
-    and item blocks (default: Spark's, from the input partitioning). Long
+    and item blocks; Spark's default is 10 of each, whatever the input, so on
+    a cluster pass ``default_blocks(spark)`` or more. Long
     runs cut their lineage every ``checkpoint_interval`` iterations into the
     session's checkpoint folder.
     """
@@ -75,6 +75,11 @@ def als(
     return estimator
 
 
+def default_blocks(spark: SparkSession) -> int:
+    """Blocks for a fit on this session: its parallelism, at least Spark's default of 10."""
+    return max(10, spark.sparkContext.defaultParallelism)
+
+
 @dataclass
 class FitResult:
     model: ALSModel
@@ -82,9 +87,15 @@ class FitResult:
 
 
 def fit(estimator: ALS, ratings: DataFrame) -> FitResult:
-    """Fit and time it on the driver clock."""
+    """Fit and time it on the driver clock.
+
+    The ratings are dealt by user and sorted first, so a fit depends on its
+    rows and blocks and not on how its input files happen to be laid out.
+    """
+    user, item = estimator.getUserCol(), estimator.getItemCol()
+    dealt = ratings.repartition(estimator.getNumUserBlocks(), user).sortWithinPartitions(user, item)
     start = time.perf_counter()
-    model = estimator.fit(ratings)
+    model = estimator.fit(dealt)
     return FitResult(model, time.perf_counter() - start)
 
 
@@ -150,6 +161,21 @@ def prediction_arrays(recs: DataFrame, item_col: str = ITEM, user_col: str = USE
     )
 
 
+def ranking_pairs(predictions: DataFrame, test: DataFrame, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
+    """``user_id, predictions, scores, true_positives``: both lists side by side.
+
+    ``true_positives`` holds a user's held-out items; a user without any has
+    no row, as by the inner join of the two lists. It is as long as the user's
+    distinct items, which this table is asked to hold; the metrics never
+    build it.
+    """
+    truth = (
+        test.groupBy(user_col)
+        .agg(F.sort_array(F.collect_set(F.col(item_col).cast("double"))).alias("true_positives"))
+    )
+    return predictions.join(truth, on=user_col)
+
+
 def hits_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
     """Hits ``(user, pos)`` of long-form recommendations in the test rows, as SQL.
 
@@ -272,11 +298,3 @@ def best_als(cv_model) -> ALSModel:
     """The ALS stage of the best pipeline."""
     best = cv_model.bestModel
     return best.stages[-1] if isinstance(best, PipelineModel) else best
-
-
-def grid_size(ranks, max_iters, reg_params, alphas=None, implicit: bool = False) -> int:
-    """Number of grid points (the alpha axis only counts when implicit)."""
-    axes = [list(ranks), list(max_iters), list(reg_params)]
-    if alphas and implicit:
-        axes.append(list(alphas))
-    return len(list(itertools.product(*axes)))

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,20 +85,6 @@ class IndexModel:
         mapping = spark.read.parquet(path)
         return cls(mapping, input_col, output_col, mapping.count())
 
-    def to_string_indexer(self, max_labels: int = 1_000_000, handle_invalid: str = "keep") -> StringIndexerModel:
-        """An equivalent ``StringIndexerModel`` for pyspark.ml pipelines.
-
-        Its labels live in the driver and are shipped with every task, so
-        the size is checked first and a larger vocabulary is refused.
-        """
-        n = self.mapping.count()
-        if n > max_labels:
-            raise ValueError(f"{n} labels exceed max_labels={max_labels}; use transform() instead")
-        labels = [r["label"] for r in self.mapping.orderBy("index").select("label").collect()]
-        return StringIndexerModel.from_labels(
-            labels, inputCol=self.input_col, outputCol=self.output_col, handleInvalid=handle_invalid
-        )
-
 
 def index_mapping(df: DataFrame, input_col: str) -> DataFrame:
     """The lazy ``(label, frequency, index)`` table of ``fit_index``."""

@@ -1,6 +1,11 @@
 """Data preparation: canonical listens, pruning, ratings, id checks.
 
-Every function maps DataFrames to a DataFrame and runs no action.
+``prune_rare``, ``user_item_ratings`` and ``known_test_rows`` write the small
+tables that they join (counts, totals, ids) to the shared checkpoint folder
+first. A join whose two sides are both read from storage ends in two plain
+exchanges, which AQE can broadcast by measured size or split where one key is
+hot; over an aggregate's own shuffle it can do neither. The other functions
+run no action.
 """
 
 from __future__ import annotations
@@ -9,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.columns import canonical_id, epoch_seconds
+from encore.sources.parquet import materialize
 
 USER = "user_id"
 SONG = "recording_id"
@@ -31,15 +37,6 @@ def canonical_listens(tracks: DataFrame, interactions: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
-    """One row per (item, user) with the number of listens: ``plays``.
-
-    The map side combines before the shuffle, so the shuffle carries distinct
-    pairs per task rather than listens, and a hot key is pre-aggregated.
-    """
-    return listens.groupBy(item_col, user_col).agg(F.count(F.lit(1)).alias("plays"))
-
-
 def prune_rare(
     listens: DataFrame,
     min_users: int = 20,
@@ -53,25 +50,31 @@ def prune_rare(
     One pass, not a k-core: a song may fall back under its bound after the
     user step, as in the original. Both bounds are strict.
 
-    Plan: distinct (song, user) pairs are built once with a map-side combine;
-    both counts are counts of pairs, and the surviving pairs are semi-joined
-    back to the listens on the composite key. The listens are shuffled at most
-    once (and not at all when AQE finds the surviving pairs small enough to
-    broadcast); no step puts a hot song or user whole into one task without
-    partial aggregation first.
+    Plan: the log is written once, so its source join runs once; the distinct
+    (song, user) pairs are built from it with a map-side combine and written;
+    both counts are counts of pairs. The log is then semi-joined to the two
+    short id tables. A hot song or user is a hot key of those joins only on
+    the log's side, which AQE splits.
     """
-    pairs = listens.where(F.col(item_col).isNotNull() & F.col(user_col).isNotNull()).select(
-        item_col, user_col
-    ).distinct()
-    songs_ok = (
-        pairs.groupBy(item_col).agg(F.count(F.lit(1)).alias("n_users")).where(F.col("n_users") > min_users)
+    log = materialize(listens, "log")
+    pairs = materialize(
+        log.where(F.col(item_col).isNotNull() & F.col(user_col).isNotNull()).select(item_col, user_col).distinct(),
+        "pairs",
+    )
+    songs = materialize(
+        pairs.groupBy(item_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_users).select(item_col),
+        "kept_songs",
     )
-    pairs_ok = pairs.join(songs_ok.select(item_col), on=item_col, how="left_semi")
-    users_ok = (
-        pairs_ok.groupBy(user_col).agg(F.count(F.lit(1)).alias("n_items")).where(F.col("n_items") > min_items)
+    users = materialize(
+        pairs.join(songs, on=item_col, how="left_semi")
+        .groupBy(user_col)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > min_items)
+        .select(user_col),
+        "kept_users",
     )
-    keep = pairs_ok.join(users_ok.select(user_col), on=user_col, how="left_semi")
-    return listens.join(keep, on=[item_col, user_col], how="left_semi").select(*listens.columns)
+    kept = log.join(songs, on=item_col, how="left_semi").join(users, on=user_col, how="left_semi")
+    return kept.select(*listens.columns)
 
 
 def user_item_ratings(
@@ -80,25 +83,20 @@ def user_item_ratings(
     """Rating = the user's share of plays per song.
 
     ``(user_id, avg_rating, recording_id_index)``; the ratings of a user sum
-    to 1. Per-user totals are a partial aggregate over the pair counts, joined
-    back on the user (AQE broadcasts the totals when they are small and splits
-    a hot user's partition otherwise).
+    to 1. Plays by pair and their sum by user are written, then divided.
     """
-    pairs = indexed.groupBy(item_col, user_col).agg(F.count(F.lit(1)).alias("rating"))
-    totals = pairs.groupBy(user_col).agg(F.sum("rating").alias("total"))
-    return pairs.join(totals, on=user_col, how="inner").select(
-        F.col(user_col),
-        (F.col("rating") / F.col("total")).alias("avg_rating"),
-        F.col(item_col),
-    )
+    plays = materialize(indexed.groupBy(user_col, item_col).agg(F.count(F.lit(1)).alias("plays")), "plays")
+    by_user = materialize(plays.groupBy(user_col).agg(F.sum("plays").alias("all_plays")), "plays_by_user")
+    share = F.col("plays") / F.col("all_plays")
+    return plays.join(by_user, on=user_col).select(user_col, share.alias("avg_rating"), item_col)
 
 
 def known_test_rows(
     train: DataFrame, test: DataFrame, user_col: str = USER, item_col: str = "recording_id_index"
 ) -> DataFrame:
     """Test rows whose user and item both occur in train."""
-    train_users = train.select(user_col).distinct()
-    train_items = train.select(item_col).distinct()
+    train_users = materialize(train.select(user_col).distinct(), "train_users")
+    train_items = materialize(train.select(item_col).distinct(), "train_items")
     known = test.join(train_users, on=user_col, how="left_semi").join(train_items, on=item_col, how="left_semi")
     return known.select(*test.columns)
 

@@ -22,20 +22,28 @@ def _pairs(listens: DataFrame, user_col: str, item_col: str) -> DataFrame:
     )
 
 
-def song_play_counts(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
-    """Per song: plays (``user_count``) and distinct listeners (``unique_user_count``) (A3)."""
-    return _pairs(listens, user_col, item_col).groupBy(item_col).agg(
+def _by_song(pairs: DataFrame, user_col: str, item_col: str) -> DataFrame:
+    return pairs.groupBy(item_col).agg(
         F.sum("n_user").alias("user_count"), F.count(user_col).alias("unique_user_count")
     )
 
 
-def user_play_counts(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
-    """Per user: plays (``interaction_count``) and distinct songs (``unique_interaction_count``) (A4)."""
-    return _pairs(listens, user_col, item_col).groupBy(user_col).agg(
+def _by_user(pairs: DataFrame, user_col: str, item_col: str) -> DataFrame:
+    return pairs.groupBy(user_col).agg(
         F.sum("n_item").alias("interaction_count"), F.count(item_col).alias("unique_interaction_count")
     )
 
 
+def song_play_counts(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
+    """Per song: plays (``user_count``) and distinct listeners (``unique_user_count``) (A3)."""
+    return _by_song(_pairs(listens, user_col, item_col), user_col, item_col)
+
+
+def user_play_counts(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
+    """Per user: plays (``interaction_count``) and distinct songs (``unique_interaction_count``) (A4)."""
+    return _by_user(_pairs(listens, user_col, item_col), user_col, item_col)
+
+
 def _summary(counts: DataFrame, measures: list[tuple[str, str]]) -> DataFrame:
     """Mean / sample stddev / min / max of each measure, one row per measure.
 
@@ -65,15 +73,17 @@ def listen_stats(listens: DataFrame, user_col: str = USER, item_col: str = SONG)
     ``unique_users_per_interaction`` (listeners per song),
     ``interactions_per_user`` (plays per user) and
     ``unique_interactions_per_user`` (songs per user). ``stddev`` is the
-    sample standard deviation. Both count tables derive from the same pair
-    aggregate, so the listens are scanned and shuffled once.
+    sample standard deviation. The pair aggregate with both counts is written
+    once and both count tables read it, so the listens are scanned and
+    shuffled once.
     """
+    pairs = materialize(_pairs(listens, user_col, item_col), "pair_counts")
     per_song = _summary(
-        song_play_counts(listens, user_col, item_col),
+        _by_song(pairs, user_col, item_col),
         [("user_count", "users_per_interaction"), ("unique_user_count", "unique_users_per_interaction")],
     )
     per_user = _summary(
-        user_play_counts(listens, user_col, item_col),
+        _by_user(pairs, user_col, item_col),
         [
             ("interaction_count", "interactions_per_user"),
             ("unique_interaction_count", "unique_interactions_per_user"),
@@ -82,11 +92,6 @@ def listen_stats(listens: DataFrame, user_col: str = USER, item_col: str = SONG)
     return per_song.unionByName(per_user)
 
 
-def metric_row(stats: DataFrame, metric: str) -> DataFrame:
-    """One metric's row of ``listen_stats``."""
-    return stats.where(F.col("Metric") == F.lit(metric))
-
-
 def listener_histogram(listens: DataFrame, user_col: str = USER, item_col: str = SONG) -> DataFrame:
     """Histogram of distinct listeners per song with unit-wide bins.
 

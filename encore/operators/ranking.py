@@ -18,10 +18,10 @@ are all hits, and ``before`` hits precede the run. A plain hit is a run of
 length 1; a block of identical listens is one run, however long, and its sums
 have closed forms (``encore.functions.columns.harmonic_gap``).
 
-Eager steps: ``shared_list_metrics`` and ``ordered_list_metrics`` count the
-shared list before broadcasting it (one small job), and
-``exclusive_prefix_sums`` checkpoints its range-sorted input into the shared
-checkpoint folder (one job). Everything else is lazy.
+Rows without a user belong to nobody: they are dropped, in every metric here.
+
+Eager step: ``exclusive_prefix_sums`` checkpoints its range-sorted input into
+the shared checkpoint folder (one job). Everything else is lazy.
 """
 
 from __future__ import annotations
@@ -38,20 +38,6 @@ from encore.session import ensure_checkpoint_dir
 
 USER = "user_id"
 METRIC_COLUMNS = ["precision_at_k", "map", "map_at_k", "ndcg_at_k"]
-# Largest shared list that is broadcast to every task; a longer one is joined
-# by a shuffle join instead.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """``(df, n)``: ``df`` marked for broadcast when its ``n`` rows are at most ``max_rows``.
-
-    Counts the rows first (one small job), so the broadcast is backed by a
-    checked size; beyond the bound the frame is returned unmarked and AQE
-    plans a shuffle join.
-    """
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
 
 
 # ---------------------------------------------------------------- run sums
@@ -181,7 +167,7 @@ def list_metrics(
     (the inner join of the two lists), or the ``users`` given; a given user
     without labels scores 0.
     """
-    distinct_labels = labels.select(user_col, item_col).distinct()
+    distinct_labels = labels.where(F.col(user_col).isNotNull()).select(user_col, item_col).distinct()
     hits = predictions.join(distinct_labels, on=[user_col, item_col], how="inner").select(user_col, pos_col)
     counts = label_counts(distinct_labels, user_col, item_col, distinct=True)
     if users is None:
@@ -207,12 +193,11 @@ def shared_list_metrics(
     """Per-user metrics when every user gets the same list ``ranked``.
 
     ``ranked``: ``(pos, item)`` with distinct items, e.g. a top-k popularity
-    list; it is broadcast after its size is checked (``bounded_broadcast``).
+    list; the join is left to AQE, which broadcasts it by its measured size.
     Every user with a label is evaluated.
     """
-    distinct_labels = labels.select(user_col, item_col).distinct()
-    shared, _ = bounded_broadcast(ranked.select(pos_col, item_col))
-    hits = distinct_labels.join(shared, on=item_col, how="inner")
+    distinct_labels = labels.where(F.col(user_col).isNotNull()).select(user_col, item_col).distinct()
+    hits = distinct_labels.join(ranked.select(pos_col, item_col), on=item_col, how="inner")
     users = label_counts(distinct_labels, user_col, item_col, distinct=True)
     return per_user_metrics(
         runs_from_hits(hits.select(user_col, pos_col), user_col, pos_col), users, k, user_col, unit_runs=True
@@ -264,9 +249,12 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
        checkpointed into the shared checkpoint folder, which fixes the range
        bounds and task ids for both uses below (and survives executor loss);
     2. each task takes local running sums over its sorted range (vectorised);
-    3. per (task, group) totals form a small table whose running sum over
-       tasks gives each range's offset (at most one row per task and group);
-    4. the offsets are joined back on (task, group).
+    3. only a task's first group can have begun in an earlier task. The sums
+       of each task's first and last group, two rows for each task at most,
+       give the first groups' offsets by a running sum over tasks;
+    4. the offsets, one row for each task, are broadcast (their number is the
+       number of partitions) and added to the rows of the first groups. The
+       rows themselves are not shuffled again.
     """
     keys = [group_col, *order_cols]
     ensure_checkpoint_dir(df.sparkSession)
@@ -281,16 +269,27 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
         ranged.schema.fields + [T.StructField(f"{c}_local", T.LongType(), False) for c in sum_cols]
     )
     local = ranged.mapInPandas(_local_exclusive_sums(group_col, sum_cols), schema=local_schema)
-    totals = ranged.groupBy("_part", group_col).agg(*[F.sum(c).alias(f"{c}_total") for c in sum_cols])
+    ends = ranged.groupBy("_part").agg(F.min(group_col).alias("_first"), F.max(group_col).alias("_last"))
+    totals = (
+        ranged.join(F.broadcast(ends), "_part")
+        .where((F.col(group_col) == F.col("_first")) | (F.col(group_col) == F.col("_last")))
+        .groupBy("_part", group_col, "_first")
+        .agg(*[F.sum(c).alias(f"{c}_total") for c in sum_cols])
+    )
     w = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_part",
-        group_col,
+        "_first",
+        (F.col(group_col) == F.col("_first")).alias("_carried"),
         *[F.coalesce(F.sum(f"{c}_total").over(w), F.lit(0)).alias(f"{c}_offset") for c in sum_cols],
-    )
-    return local.join(offsets, on=["_part", group_col], how="inner").select(
+    ).where("_carried")
+    first = F.col(group_col) == F.col("_first")
+    return local.join(F.broadcast(offsets), on="_part", how="left").select(
         *df.columns,
-        *[(F.col(f"{c}_local") + F.col(f"{c}_offset")).cast("bigint").alias(f"{c}_before") for c in sum_cols],
+        *[
+            (F.col(f"{c}_local") + F.when(first, F.col(f"{c}_offset")).otherwise(F.lit(0))).cast("bigint").alias(f"{c}_before")
+            for c in sum_cols
+        ],
     )
 
 
@@ -306,8 +305,7 @@ def ordered_list_metrics(
 
     The list of a user is all its ``events`` rows ordered by ``order_cols``
     (repeats kept, each occurrence a position); the label set is the shared
-    ``relevant`` items (distinct; broadcast after a size check). Every user
-    with an event is evaluated, with ``n_labels = |relevant|``.
+    ``relevant`` items (distinct). Every user with an event is evaluated, with ``n_labels = |relevant|``.
 
     Identical events are collapsed into one row with a multiplicity first (a
     partial aggregate); positions come from ``exclusive_prefix_sums``, so no
@@ -316,8 +314,9 @@ def ordered_list_metrics(
     keys = [user_col, *order_cols]
     if item_col not in order_cols:
         keys.append(item_col)
-    collapsed = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("mult"))
-    rel, n_relevant = bounded_broadcast(relevant.select(item_col).distinct().withColumn("_hit", F.lit(1)))
+    collapsed = events.where(F.col(user_col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("mult"))
+    rel = relevant.select(item_col).distinct().withColumn("_hit", F.lit(1))
+    n_relevant = rel.agg(F.count(F.lit(1))).scalar()
     flagged = collapsed.join(rel, on=item_col, how="left").select(
         *keys,
         F.col("mult"),
@@ -331,9 +330,6 @@ def ordered_list_metrics(
         F.col("hit_mult_before").alias("before"),
     )
     users = (
-        collapsed.where(F.col(user_col).isNotNull())
-        .select(user_col)
-        .distinct()
-        .select(user_col, F.lit(n_relevant).cast("bigint").alias("n_labels"))
+        collapsed.select(user_col).distinct().select(user_col, n_relevant.cast("bigint").alias("n_labels"))
     )
     return per_user_metrics(runs, users, k, user_col)

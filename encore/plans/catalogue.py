@@ -7,17 +7,22 @@ are checked by properties in the tests instead). Doubles are rounded to
 
 Fixed parameters of the catalogue: the whole log is pruned at 20, the train
 and test logs at 5 each (the test log at 20 would be empty); top lists and
-metrics use k = 100; the time split uses the 0.8 quantile; the user split
-keeps 80 of 100 hash buckets in train; ALS runs at rank 10 for 5 iterations
-(the job CLI uses the method's rank 300 and 10 iterations).
+metrics use k = 100; the time split uses the exact 0.8 quantile; the user
+split keeps the hash points below 0.8 in train; ALS runs at the method's rank
+of 300 for 10 iterations.
+
+Factors differ from build to build in their last digits, so the model queries
+fit on all ratings and return what the method determines: which pairs are
+predicted, whom a list belongs to and what may stand in it, which grid points
+and models are compared, and whether the figures are in range.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.recommendation import ALSModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from encore.operators import factors, indexing, popularity, prep, profiling, ranking, splits
@@ -33,8 +38,11 @@ SPLIT_BOUND = 5
 TIME_QUANTILE = 0.8
 USER_FRACTION = 0.8
 LOOKUP_USER = 53
-ALS_RANK = 10
-ALS_ITER = 5
+ALS_RANK = factors.DEFAULT_RANK
+ALS_ITER = factors.DEFAULT_MAX_ITER
+GRID_RANKS, GRID_ITERS, GRID_REGS = [5, 10], [5], [0.01, 0.1]
+COMPARE_RANK, COMPARE_ITER = 10, 5
+COMPARE_FRACTIONS = (0.5, 1.0)
 ALS_REG = 0.01
 ALS_SEED = 42
 
@@ -203,7 +211,10 @@ def q_popularity_metrics_by_split(spark, sf):
 
 
 def q_ground_truth(spark, sf):
-    return rounded(factors.ground_truth(ratings(spark, sf, "test")), "avg_rating")
+    """The sorted rows with their place in the sort, so that the order itself is compared."""
+    truth = factors.ground_truth(ratings(spark, sf, "test").withColumn("avg_rating", F.round("avg_rating", DECIMALS)))
+    order = [F.col("user_id").asc(), F.col("avg_rating").desc(), F.col("recording_id_index").asc()]
+    return indexing.dense_ranks(truth, order, "place")
 
 
 def q_parquet_round_trip(spark, sf):
@@ -230,61 +241,173 @@ def q_index_round_trip(spark, sf):
 # ---------------------------------------------------------- model queries
 
 
-@functools.lru_cache(maxsize=4)
-def _als_fit(spark: SparkSession, sf: str):
-    train, test = (materialize(r, name) for r, name in zip(ratings_pair(spark, sf), ("train_ratings", "test_ratings")))
-    est = factors.als(rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED)
-    return factors.fit(est, train), train, test
+# Written fits of this process, by application and folder: ratings and model.
+_FITS: dict[tuple[str, str], tuple[str, str, str]] = {}
+
+
+def _als_fit(spark: SparkSession, sf: str) -> tuple[ALSModel, DataFrame, DataFrame]:
+    """The fitted model with its train and test ratings, from written tables.
+
+    The first model query of an application over a folder fits and writes;
+    the others read what it wrote.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITS:
+        paths = tuple(scratch_path(spark, name) for name in ("als-train", "als-test", "als-model"))
+        for part, path in zip(ratings_pair(spark, sf), paths):
+            write_table(part, path)
+        estimator = factors.als(
+            rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED, blocks=factors.default_blocks(spark)
+        )
+        factors.fit(estimator, read_table(spark, paths[0])).model.write().save(paths[2])
+        _FITS[key] = paths
+    train, test, model = _FITS[key]
+    return ALSModel.load(model), read_table(spark, train), read_table(spark, test)
+
+
+def _list_facts(recs: DataFrame, train: DataFrame) -> DataFrame:
+    """Per user of a recommendation list: its length, different items, order, and items not in train."""
+    known = materialize(train.select("recording_id_index").distinct().withColumn("known", F.lit(1)), "known")
+    by_place = F.sort_array(F.collect_list(F.struct("pos", "score")))
+    falls = F.forall(
+        F.sequence(F.lit(1), F.size("list")), lambda i: (i == 1) | (F.get("list", i - 2)["score"] >= F.get("list", i - 1)["score"])
+    )
+    return (
+        recs.join(known, "recording_id_index", "left")
+        .groupBy("user_id")
+        .agg(
+            F.count("*").alias("n"),
+            F.countDistinct("recording_id_index").alias("n_items"),
+            F.count_if(F.col("known").isNull()).alias("n_unknown"),
+            by_place.alias("list"),
+        )
+        .select(F.col("user_id").cast("long").alias("user_id"), "n", "n_items", "n_unknown", falls.alias("descending"))
+    )
 
 
 def q_als_recommendations(spark, sf):
-    fitted, _, _ = _als_fit(spark, sf)
-    return factors.recommend_all(fitted.model, K)
+    model, train, _ = _als_fit(spark, sf)
+    return _list_facts(factors.recommend_all(model, K), train)
 
 
 def q_als_subset_recommendations(spark, sf):
-    fitted, _, test = _als_fit(spark, sf)
-    return factors.recommend_for(fitted.model, test.select("user_id"), K)
+    model, train, test = _als_fit(spark, sf)
+    return _list_facts(factors.recommend_for(model, test.select("user_id"), K), train)
+
+
+def q_als_predicted_pairs(spark, sf):
+    model, _, test = _als_fit(spark, sf)
+    found = factors.predict(model, test)
+    return found.where(F.col("prediction").isNotNull() & ~F.isnan("prediction")).select(
+        F.col("user_id").cast("long").alias("user_id"),
+        F.col("recording_id_index").cast("double").alias("recording_id_index"),
+    )
 
 
 def q_als_rmse(spark, sf):
-    fitted, _, test = _als_fit(spark, sf)
-    return factors.rmse_frame(factors.predict(fitted.model, test))
+    model, _, test = _als_fit(spark, sf)
+    frame = factors.rmse_frame(factors.predict(model, test))
+    return frame.select("n", F.col("rmse").between(0.0, 1.0).alias("rmse_in_range"))
+
+
+def q_rmse_of_user_mean(spark, sf):
+    """E5 on a predictor that SQL knows: a user's mean rating in train."""
+    train, test = ratings_pair(spark, sf)
+    mean = materialize(train.groupBy("user_id").agg(F.avg("avg_rating").alias("prediction")), "user_mean")
+    return rounded(factors.rmse_frame(test.join(mean, "user_id")), "rmse")
+
+
+def _metric_facts(row: DataFrame) -> DataFrame:
+    inside = F.lit(True)
+    for name in ("precision_at_k", "map", "map_at_k", "ndcg_at_k"):
+        inside = inside & F.col(name).between(0.0, 1.0)
+    return row.select("k", "n_users", inside.alias("metrics_in_range"))
 
 
 def q_als_metrics(spark, sf):
-    fitted, _, test = _als_fit(spark, sf)
-    per_user = factors.ranking_scores(factors.recommend_all(fitted.model, K), test, K)
-    return ranking.mean_metrics(per_user, K, DECIMALS)
+    model, _, test = _als_fit(spark, sf)
+    recs = factors.recommend_for(model, test.select("user_id"), K)
+    return _metric_facts(ranking.mean_metrics(factors.ranking_scores(recs, test, K), K, DECIMALS))
 
 
 def q_als_metrics_sql(spark, sf):
-    fitted, _, test = _als_fit(spark, sf)
-    per_user = factors.ranking_scores_sql(spark, factors.recommend_all(fitted.model, K), test, K)
-    return ranking.mean_metrics(per_user, K, DECIMALS)
+    model, _, test = _als_fit(spark, sf)
+    recs = factors.recommend_for(model, test.select("user_id"), K)
+    return _metric_facts(ranking.mean_metrics(factors.ranking_scores_sql(spark, recs, test, K), K, DECIMALS))
+
+
+def _fixed_lists(train: DataFrame) -> DataFrame:
+    """A list for each user that SQL knows too: the user's own items, best rated first, K at most."""
+    order = Window.partitionBy("user_id").orderBy(F.round("avg_rating", 10).desc(), F.col("recording_id_index").asc())
+    # a user's items, written down to K: the window's groups are bounded by the songs
+    return (
+        train.withColumn("pos", F.row_number().over(order) - 1)
+        .where(F.col("pos") < K)
+        .select("user_id", F.col("pos").cast("long").alias("pos"), "recording_id_index", F.col("avg_rating").alias("score"))
+    )
+
+
+def q_fixed_list_metrics(spark, sf):
+    train, test = ratings_pair(spark, sf)
+    return ranking.mean_metrics(factors.ranking_scores(_fixed_lists(train), test, K), K, DECIMALS)
+
+
+def q_fixed_list_metrics_sql(spark, sf):
+    train, test = ratings_pair(spark, sf)
+    return ranking.mean_metrics(factors.ranking_scores_sql(spark, _fixed_lists(train), test, K), K, DECIMALS)
+
+
+def _array_facts(pairs: DataFrame) -> DataFrame:
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("long").cast("string")), ",")
+    return pairs.select(
+        F.col("user_id").cast("long").alias("user_id"),
+        F.size("predictions").alias("n_predictions"),
+        F.size("scores").alias("n_scores"),
+        text(F.col("true_positives")).alias("true_positives"),
+    )
 
 
 def q_als_prediction_arrays(spark, sf):
-    fitted, _, _ = _als_fit(spark, sf)
+    model, _, test = _als_fit(spark, sf)
     path = scratch_path(spark, "predictions")
-    write_table(factors.prediction_arrays(fitted.model.recommendForAllUsers(K)), path)
-    return read_table(spark, path)
+    arrays = factors.prediction_arrays(model.recommendForUserSubset(test.select("user_id").distinct(), K))
+    write_table(factors.ranking_pairs(arrays, test), path)
+    return _array_facts(read_table(spark, path))
 
 
 def q_als_grid(spark, sf):
-    _, train, _ = _als_fit(spark, sf)
-    est = factors.als(rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED)
-    grid = factors.param_grid(est, [5, ALS_RANK], [ALS_ITER], [ALS_REG, 0.1])
-    return factors.tune(spark, train, est, grid, folds=2, parallelism=2, seed=ALS_SEED).report
+    train, _ = ratings_pair(spark, sf)
+    est = factors.als(seed=ALS_SEED, blocks=factors.default_blocks(spark))
+    grid = factors.param_grid(est, GRID_RANKS, GRID_ITERS, GRID_REGS)
+    report = factors.tune(spark, materialize(train, "grid-train"), est, grid, folds=2, parallelism=2, seed=ALS_SEED).report
+    least = report.agg(F.min("rmse")).scalar()
+    return report.select(
+        "rank",
+        "max_iter",
+        "reg_param",
+        "alpha",
+        F.col("rmse").between(0.0, 1.0).alias("rmse_in_range"),
+        (F.col("is_best") == (F.col("rmse") == least)).alias("best_is_least"),
+    )
 
 
 def q_model_comparison(spark, sf):
     from encore.plans.compare import compare_models
 
-    _, train, test = _als_fit(spark, sf)
-    listens = indexed_logs(spark, sf)["train"]
-    return compare_models(
-        spark, train, test, fractions=(0.5, 1.0), k=K, rank=ALS_RANK, max_iter=ALS_ITER, train_listens=listens
+    train, test = (materialize(r, name) for r, name in zip(ratings_pair(spark, sf), ("compare-train", "compare-test")))
+    report = compare_models(
+        spark, train, test, fractions=COMPARE_FRACTIONS, k=K, rank=COMPARE_RANK, max_iter=COMPARE_ITER,
+        train_listens=indexed_logs(spark, sf)["train"],
+    )
+    popular = F.col("model") == "popularity"
+    return report.select(
+        "model",
+        "fraction",
+        "n_ratings",
+        "n_users",
+        (F.col("fit_seconds") > 0).alias("timed"),
+        F.when(popular, F.round("precision_at_k", DECIMALS)).alias("precision_at_k"),
+        F.when(popular, F.round("map", DECIMALS)).alias("map"),
     )
 
 
@@ -307,9 +430,8 @@ def _sql_time_split(op: str) -> str:
 
 
 def _sql_user_split(op: str) -> str:
-    cut = int(round(USER_FRACTION * 100))
-    bucket = "(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 100)"
-    return O.with_(O.BASE) + f'SELECT user_id, "timestamp", recording_id FROM listens WHERE {bucket} {op} {cut}'
+    point = "(('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 13))::BIGINT / CAST(power(2, 52) AS DOUBLE))"
+    return O.with_(O.BASE) + f'SELECT user_id, "timestamp", recording_id FROM listens WHERE {point} {op} {USER_FRACTION}::DOUBLE'
 
 
 _SPLITS = O.pruned_splits(SPLIT_BOUND)
@@ -396,7 +518,10 @@ FROM scores""",
         O.BASE, _SPLITS, O.popularity("train5"), O.idcg(K), O.standard_order("test5", K), O.per_user_from_hits("hits", "users", K)
     )
     + f"SELECT user_id, n_labels, {_r('precision_at_k')}, {_r('map')}, {_r('map_at_k')}, {_r('ndcg_at_k')} FROM per_user",
-    "ground_truth": O.with_(*_RATINGS) + f"SELECT user_id, recording_id_index, {_r('avg_rating')} FROM test5_ratings",
+    "ground_truth": O.with_(*_RATINGS)
+    + f"""SELECT user_id, recording_id_index, {_r('avg_rating')},
+       row_number() OVER (ORDER BY user_id, round(avg_rating, {DECIMALS}) DESC, recording_id_index) - 1 AS place
+FROM test5_ratings""",
     "parquet_round_trip": O.with_(*_RATINGS) + f"SELECT user_id, {_r('avg_rating')}, recording_id_index FROM train5_ratings",
     "loaded_listens": _sql_listens("listens_train"),
     "index_round_trip": O.with_(O.BASE, _SPLITS, O.SONG_INDEX)
@@ -441,6 +566,81 @@ def _sql_by_split() -> str:
 
 SQL["popularity_metrics_by_split"] = _sql_by_split()
 
+_TRAIN_USERS = "(SELECT DISTINCT user_id FROM train5_ratings)"
+_N_ITEMS = f"least({K}, (SELECT count(DISTINCT recording_id_index) FROM train5_ratings))"
+_KNOWN = """test5_ratings WHERE user_id IN (SELECT user_id FROM train5_ratings)
+  AND recording_id_index IN (SELECT recording_id_index FROM train5_ratings)"""
+_LISTS = f"SELECT user_id, {_N_ITEMS} AS n, {_N_ITEMS} AS n_items, 0::BIGINT AS n_unknown, true AS descending FROM "
+_FIXED = f"""
+lists AS (
+  SELECT user_id, recording_id_index, row_number() OVER (PARTITION BY user_id
+    ORDER BY round(avg_rating, 10) DESC, recording_id_index) - 1 AS pos FROM train5_ratings),
+users AS (
+  SELECT user_id, count(*) AS n_labels FROM test5_ratings
+  WHERE user_id IN (SELECT user_id FROM train5_ratings) GROUP BY user_id),
+hits AS (
+  SELECT l.user_id, l.pos, row_number() OVER (PARTITION BY l.user_id ORDER BY l.pos) AS cnt
+  FROM lists l JOIN test5_ratings t ON l.user_id = t.user_id AND l.recording_id_index = t.recording_id_index
+  WHERE l.pos < {K})
+"""
+_EVALUATED = f"SELECT {K} AS k, count(DISTINCT user_id) AS n_users, true AS metrics_in_range FROM test5_ratings WHERE user_id IN {_TRAIN_USERS}"
+
+
+def _sql_comparison() -> str:
+    point = "('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 13))::BIGINT / CAST(power(2, 52) AS DOUBLE)"
+    parts = []
+    for fraction in COMPARE_FRACTIONS:
+        keep = f"{point} < {fraction}::DOUBLE" if fraction < 1 else "true"
+        scored = O.with_(
+            f"part AS (SELECT i.recording_id_index AS recording_id, l.user_id FROM train5 l JOIN song_index i USING (recording_id) WHERE {keep})",
+            O.popularity("part"),
+            f"test_part AS (SELECT user_id, recording_id_index AS recording_id FROM test5_ratings WHERE {keep})",
+            O.idcg(K),
+            O.standard_order("test_part", K),
+            O.per_user_from_hits("hits", "users", K),
+        ) + f"SELECT round(avg(precision_at_k), {DECIMALS}) AS p, round(avg(map), {DECIMALS}) AS m, count(*) AS n FROM per_user"
+        n_ratings = f"(SELECT count(*) FROM train5_ratings WHERE {keep})"
+        parts.append(
+            f"SELECT 'popularity' AS model, {fraction}::DOUBLE AS fraction, {n_ratings} AS n_ratings, n AS n_users, "
+            f"true AS timed, p AS precision_at_k, m AS map FROM ({scored})"
+        )
+        evaluated = f"(SELECT count(DISTINCT user_id) FROM test5_ratings WHERE {keep} AND user_id IN {_TRAIN_USERS})"
+        parts += [
+            f"SELECT '{model}', {fraction}::DOUBLE, {n_ratings}, {evaluated}, true, NULL::DOUBLE, NULL::DOUBLE"
+            for model in ("als_explicit", "als_implicit")
+        ]
+    return O.with_(*_RATINGS) + " UNION ALL ".join(parts)
+
+
+SQL |= {
+    "als_recommendations": O.with_(*_RATINGS) + _LISTS + _TRAIN_USERS,
+    "als_subset_recommendations": O.with_(*_RATINGS)
+    + _LISTS
+    + f"(SELECT DISTINCT user_id FROM test5_ratings WHERE user_id IN {_TRAIN_USERS})",
+    "als_predicted_pairs": O.with_(*_RATINGS) + "SELECT user_id, recording_id_index FROM " + _KNOWN,
+    "als_rmse": O.with_(*_RATINGS) + "SELECT count(*) AS n, true AS rmse_in_range FROM " + _KNOWN,
+    "rmse_of_user_mean": O.with_(*_RATINGS)
+    + f"""SELECT count(*) AS n, round(sqrt(avg((m.mean - t.avg_rating) * (m.mean - t.avg_rating))), {DECIMALS}) AS rmse
+FROM test5_ratings t JOIN (SELECT user_id, avg(avg_rating) AS mean FROM train5_ratings GROUP BY user_id) m ON t.user_id = m.user_id""",
+    "als_metrics": O.with_(*_RATINGS) + _EVALUATED,
+    "als_metrics_sql": O.with_(*_RATINGS) + _EVALUATED,
+    "fixed_list_metrics": O.with_(*_RATINGS, O.idcg(K), _FIXED, O.per_user_from_hits("hits", "users", K)) + O.mean_select(K),
+    "fixed_list_metrics_sql": O.with_(*_RATINGS, O.idcg(K), _FIXED, O.per_user_from_hits("hits", "users", K)) + O.mean_select(K),
+    "als_prediction_arrays": O.with_(*_RATINGS)
+    + f"""SELECT user_id, CAST({_N_ITEMS} AS INTEGER) AS n_predictions, CAST({_N_ITEMS} AS INTEGER) AS n_scores,
+       string_agg(CAST(CAST(recording_id_index AS BIGINT) AS VARCHAR), ',' ORDER BY recording_id_index) AS true_positives
+FROM test5_ratings WHERE user_id IN {_TRAIN_USERS} GROUP BY user_id""",
+    "als_grid": "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"({rank}::INTEGER, {steps}::INTEGER, {reg}::DOUBLE, {factors.DEFAULT_ALPHA}::DOUBLE, true, true)"
+        for rank in GRID_RANKS
+        for steps in GRID_ITERS
+        for reg in GRID_REGS
+    )
+    + ") grid(rank, max_iter, reg_param, alpha, rmse_in_range, best_is_least)",
+    "model_comparison": _sql_comparison(),
+}
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "canonical_listens": q_canonical_listens,
@@ -474,9 +674,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_round_trip": q_index_round_trip,
     "als_recommendations": q_als_recommendations,
     "als_subset_recommendations": q_als_subset_recommendations,
+    "als_predicted_pairs": q_als_predicted_pairs,
     "als_rmse": q_als_rmse,
+    "rmse_of_user_mean": q_rmse_of_user_mean,
     "als_metrics": q_als_metrics,
     "als_metrics_sql": q_als_metrics_sql,
+    "fixed_list_metrics": q_fixed_list_metrics,
+    "fixed_list_metrics_sql": q_fixed_list_metrics_sql,
     "als_prediction_arrays": q_als_prediction_arrays,
     "als_grid": q_als_grid,
     "model_comparison": q_model_comparison,

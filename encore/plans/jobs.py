@@ -1,6 +1,6 @@
 """Batch job with the method's three tasks.
 
-    spark-submit -m encore.plans.jobs --data_dir DIR --task {1,2,3} [--version small]
+    spark-submit run_job.py --data_dir DIR --task {1,2,3} [--version small]
 
 1. popularity baseline: top-k on train, ranking metrics on test;
 2. cross-validated ALS grid search on RMSE;
@@ -9,21 +9,22 @@
 Shared prefix: load the train and test triples, canonical listens, pruning
 of each split (written to the shared checkpoint folder, because several jobs
 read them). Results are printed as one JSON line and, with ``--output``,
-written as Parquet.
+written as Parquet: the top list (1), the grid's report (2), or every user's
+recommendations as ``user_id, rank, recording_id, score`` (3).
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import sys
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import factors, indexing, popularity, prep, ranking, splits
 from encore.session import build_session, cluster_conf, ensure_checkpoint_dir
-from encore.sources.parquet import load_dataset, materialize, temporary_tables
+from encore.sources.parquet import load_dataset, materialize, temporary_tables, write_table
 
 INT_MAX = 2**31 - 1
 
@@ -38,23 +39,53 @@ def prepared_logs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
     return logs[0], logs[1]
 
 
-def ratings_tables(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+@dataclass
+class Ratings:
+    """Indexed ratings of both splits and what leads back from their ids.
+
+    ``user_col`` is ``user_id``, or ``user_index`` where ids exceed 32 bits.
+    """
+
+    train: DataFrame
+    test: DataFrame
+    songs: indexing.IndexModel
+    users: indexing.IndexModel | None
+    user_col: str
+
+    def decode(self, recs: DataFrame) -> DataFrame:
+        """Recommendations as ``user_id, rank, recording_id, score``."""
+        songs = self.songs.mapping.select(
+            F.col("label").alias("recording_id"), F.col("index").cast("double").alias("recording_id_index")
+        )
+        named = recs.join(songs, "recording_id_index")
+        if self.users is not None:
+            users = self.users.mapping.select(
+                F.col("label").cast("long").alias("user_id"), F.col("index").cast("int").alias(self.user_col)
+            )
+            named = named.join(users, self.user_col)
+        return named.select(
+            F.col("user_id").cast("long").alias("user_id"), (F.col("pos") + 1).alias("rank"), "recording_id", "score"
+        )
+
+
+def ratings_tables(train: DataFrame, test: DataFrame) -> Ratings:
     """Indexed ratings of both splits; user ids are indexed when they exceed 32 bits."""
     index = indexing.fit_shared_index(train, test, "recording_id", "recording_id_index")
     train_r = materialize(prep.user_item_ratings(index.transform(train)), "train_ratings")
     test_r = materialize(prep.user_item_ratings(index.transform(test)), "test_ratings")
     bounds = train_r.unionByName(test_r).agg(F.min("user_id"), F.max("user_id")).first()
-    wide = bounds[0] is not None and (bounds[0] < 0 or bounds[1] > INT_MAX)
-    if wide:
-        users = factors.index_users(train_r.unionByName(test_r))
-        train_r = users.transform(train_r.withColumn("user_id", F.col("user_id").cast("string")), "skip")
-        test_r = users.transform(test_r.withColumn("user_id", F.col("user_id").cast("string")), "skip")
-    return train_r, test_r, wide
+    if bounds[0] is None or (bounds[0] >= 0 and bounds[1] <= INT_MAX):
+        return Ratings(train_r, test_r, index, None, "user_id")
+    users = factors.index_users(train_r.unionByName(test_r))
+    indexed = [users.transform(df.withColumn("user_id", F.col("user_id").cast("string")), "skip") for df in (train_r, test_r)]
+    return Ratings(*indexed, index, users, "user_index")
 
 
 def task_popularity(train: DataFrame, test: DataFrame, args) -> dict:
     if args.time_quantile is None:
-        top = popularity.recommend(train, args.k, beta=args.beta)
+        top = materialize(popularity.recommend(train, args.k, beta=args.beta), "top")
+        if args.output:
+            write_table(top, args.output)
         metrics = popularity.evaluate(test, top, args.k, args.order).first().asDict()
         return {"task": 1, "order": args.order, **metrics}
     # fit on the early part of each user's train listens, score train,
@@ -66,37 +97,47 @@ def task_popularity(train: DataFrame, test: DataFrame, args) -> dict:
         "validation": labelled.where(F.col("split") == "test").drop("split"),
         "test": test,
     }
-    top = popularity.recommend(fit_part, args.k, beta=args.beta)
+    top = materialize(popularity.recommend(fit_part, args.k, beta=args.beta), "top")
+    if args.output:
+        write_table(top, args.output)
     rows = popularity.evaluate_splits(held_out, top, args.k, args.order).collect()
     return {"task": 1, "order": args.order, "splits": {r["split"]: r.asDict() for r in rows}}
 
 
-def task_tune(spark: SparkSession, train_r: DataFrame, test_r: DataFrame, user_col: str, args) -> dict:
-    est = factors.als(
+def estimator(spark: SparkSession, data: Ratings, args):
+    return factors.als(
         rank=args.rank, max_iter=args.max_iter, reg_param=args.reg_param, alpha=args.alpha,
-        implicit_prefs=args.implicit, user_col=user_col,
+        implicit_prefs=args.implicit, user_col=data.user_col, blocks=args.blocks or factors.default_blocks(spark),
     )
+
+
+def task_tune(spark: SparkSession, data: Ratings, args) -> dict:
+    est = estimator(spark, data, args)
     grid = factors.param_grid(est, args.grid_ranks, args.grid_iters, args.grid_regs, args.grid_alphas)
-    result = factors.tune(spark, train_r, est, grid, folds=args.folds, parallelism=args.parallelism)
+    result = factors.tune(spark, data.train, est, grid, folds=args.folds, parallelism=args.parallelism)
     best = factors.best_als(result.cv_model)
-    test_rmse = factors.rmse(factors.predict(best, test_r))
+    test_rmse = factors.rmse(factors.predict(best, data.test))
     if args.output:
         result.report.write.mode("overwrite").parquet(args.output)
     return {"task": 2, "grid_points": len(grid), "best": result.best, "test_rmse": test_rmse}
 
 
-def task_als(train_r: DataFrame, test_r: DataFrame, user_col: str, args) -> dict:
-    est = factors.als(
-        rank=args.rank, max_iter=args.max_iter, reg_param=args.reg_param, alpha=args.alpha,
-        implicit_prefs=args.implicit, user_col=user_col,
-    )
-    fitted = factors.fit(est, train_r)
-    recs = factors.recommend_all(fitted.model, args.k, user_col=user_col)
-    per_user = factors.ranking_scores(recs, test_r, args.k, user_col=user_col)
-    metrics = ranking.mean_metrics(per_user, args.k).first().asDict()
-    test_rmse = factors.rmse(factors.predict(fitted.model, test_r))
+def task_als(spark: SparkSession, data: Ratings, args) -> dict:
+    """Fit, score, and with ``--output`` write ``user_id, rank, recording_id, score`` for every user.
+
+    With an output the lists of all users are made once and written, and the
+    metrics read them; without, only users with held-out rows get a list.
+    """
+    fitted = factors.fit(estimator(spark, data, args), data.train)
     if args.output:
-        recs.write.mode("overwrite").parquet(args.output)
+        recs = materialize(factors.recommend_all(fitted.model, args.k, user_col=data.user_col), "recommendations")
+        write_table(data.decode(recs), args.output)
+    else:
+        held_out = data.test.select(data.user_col)
+        recs = factors.recommend_for(fitted.model, held_out, args.k, user_col=data.user_col)
+    per_user = factors.ranking_scores(recs, data.test, args.k, user_col=data.user_col)
+    metrics = ranking.mean_metrics(per_user, args.k).first().asDict()
+    test_rmse = factors.rmse(factors.predict(fitted.model, data.test))
     return {"task": 3, "fit_seconds": fitted.seconds, "test_rmse": test_rmse, **metrics}
 
 
@@ -108,12 +149,8 @@ def main(args, spark: SparkSession) -> dict:
         if args.task == 1:
             result = task_popularity(train, test, args)
         else:
-            train_r, test_r, wide = ratings_tables(train, test)
-            user_col = "user_index" if wide else "user_id"
-            if args.task == 2:
-                result = task_tune(spark, train_r, test_r, user_col, args)
-            else:
-                result = task_als(train_r, test_r, user_col, args)
+            data = ratings_tables(train, test)
+            result = (task_tune if args.task == 2 else task_als)(spark, data, args)
     print(json.dumps(result, default=str))
     return result
 
@@ -141,6 +178,7 @@ def parse_args(argv: list[str] | None = None):
     p.add_argument("--grid_iters", type=int, nargs="+", default=[10, 20, 30])
     p.add_argument("--grid_regs", type=float, nargs="+", default=[0.001, 0.01, 0.1])
     p.add_argument("--grid_alphas", type=float, nargs="+", default=[0.01, 0.1, 0.5, 1.0])
+    p.add_argument("--blocks", type=int, default=None, help="ALS user and item blocks (default: the parallelism)")
     p.add_argument("--folds", type=int, default=2)
     p.add_argument("--parallelism", type=int, default=2)
     p.add_argument("--output", default=None)
@@ -149,8 +187,8 @@ def parse_args(argv: list[str] | None = None):
     return p.parse_args(argv)
 
 
-if __name__ == "__main__":
-    arguments = parse_args(sys.argv[1:])
+def run(argv: list[str] | None = None) -> dict:
+    arguments = parse_args(argv)
     sizing = cluster_conf(arguments.input_tb * 1e12, arguments.total_cores) if arguments.input_tb else None
     session = build_session(arguments.spark_session_url, app_name="encore-jobs", conf=sizing)
-    main(arguments, session)
+    return main(arguments, session)

@@ -20,31 +20,3 @@ TRACKS_SCHEMA = T.StructType(
         T.StructField("recording_mbid", T.StringType(), True),
     ]
 )
-
-# A canonical listen: epoch seconds and the resolved song id.
-LISTENS_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.LongType(), True),
-        T.StructField("timestamp", T.DoubleType(), True),
-        T.StructField("recording_id", T.StringType(), True),
-    ]
-)
-
-# A user's share of plays per indexed song.
-RATINGS_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.LongType(), True),
-        T.StructField("avg_rating", T.DoubleType(), True),
-        T.StructField("recording_id_index", T.DoubleType(), True),
-    ]
-)
-
-STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("Metric", T.StringType(), False),
-        T.StructField("mean", T.DoubleType(), True),
-        T.StructField("stddev", T.DoubleType(), True),
-        T.StructField("min", T.LongType(), True),
-        T.StructField("max", T.LongType(), True),
-    ]
-)

@@ -33,21 +33,29 @@ BASE_CONF = {
 LOCAL_CONF = {
     "spark.driver.host": "127.0.0.1",
     "spark.driver.bindAddress": "127.0.0.1",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
-def cluster_conf(input_bytes: float, executor_cores_total: int = 8000, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(
+    input_bytes: float,
+    executor_cores_total: int = 8000,
+    partition_bytes: int = 256 << 20,
+    exchanged_share: float = 0.25,
+) -> dict[str, str]:
     """Sizing for a cluster run over ``input_bytes`` of listens.
 
-    Shuffles start with about one partition per ``partition_bytes`` of
-    input (at least two per core) and AQE coalesces them down to the
-    advisory size, so no reducer holds more than a few hundred MB; file
-    splits are sized alike. Skewed join partitions over 256 MB and five times
-    the median are split by AQE.
+    Shuffles start with one partition per ``partition_bytes`` of what an
+    exchange carries (``exchanged_share`` of the input: pairs and counts, not
+    raw rows), from two to eight per core: a reducer that holds more spills,
+    while the blocks of an exchange (map tasks times partitions) and the
+    driver's record of them stay bounded by the cores. AQE coalesces small
+    partitions up to the advisory size and splits skewed join partitions over
+    it and five times the median; file splits are sized alike.
     """
-    partitions = max(2 * executor_cores_total, int(input_bytes // partition_bytes) + 1)
+    wanted = int(exchanged_share * input_bytes // partition_bytes) + 1
+    partitions = min(max(2 * executor_cores_total, wanted), 8 * executor_cores_total)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -86,7 +94,9 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM: ``local`` or ``local[...]``, not ``local-cluster[...]``, which has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

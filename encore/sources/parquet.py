@@ -4,7 +4,6 @@
 * ``write_table`` / ``read_table``: Parquet sink and re-read.
 * ``materialize``: cut a plan's lineage by writing it to the shared checkpoint
   folder and reading it back (survives executor loss, unlike a local cache).
-* ``register_views``: temp views for SQL.
 """
 
 from __future__ import annotations
@@ -63,7 +62,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Paths written by ``materialize``, per application, for ``drop_materialized``.
+# Paths written by ``materialize``, per application, for ``temporary_tables``.
 _WRITTEN: dict[str, list[str]] = {}
 
 
@@ -72,7 +71,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
     A barrier between stages: later actions start from the written files
     instead of recomputing the plan, and the files outlive any executor.
-    The path is recorded so that ``drop_materialized`` can remove it.
+    The path is recorded so that ``temporary_tables`` can remove it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -108,18 +107,3 @@ def temporary_tables(spark: SparkSession):
         mine = written[start:]
         del written[start:]
         _delete(spark, mine)
-
-
-def drop_materialized(spark: SparkSession) -> int:
-    """Delete every table this application wrote with ``materialize``.
-
-    Only when no DataFrame reads any of them any more. Returns the number
-    removed.
-    """
-    return _delete(spark, _WRITTEN.pop(spark.sparkContext.applicationId, []))
-
-
-def register_views(**frames: DataFrame) -> None:
-    """Register each keyword argument as a temp view of that name."""
-    for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)

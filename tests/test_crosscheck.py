@@ -127,8 +127,6 @@ def test_dense_index_equals_string_indexer(spark):
     model = StringIndexer(inputCol="s", outputCol="i", stringOrderType="frequencyDesc").fit(df)
     theirs = {label: float(i) for i, label in enumerate(model.labels)}
     assert mine == theirs
-    bridged = indexing.fit_index(df, "s", "i").to_string_indexer()
-    assert list(bridged.labels) == list(model.labels)
 
 
 def test_runs_from_hits_window_is_bounded_by_list(spark):

@@ -51,6 +51,72 @@ def test_job_tuning(spark, data_dir):
     assert out["grid_points"] == 2 and out["best"]["rank"] in (2, 3)
 
 
+def test_launcher_runs_every_task_and_its_output_is_decoded(spark, tmp_path):
+    """As a user starts it: a process of its own, over user ids beyond 32 bits."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    wide = 1 << 40
+    fixtures.write_dataset_files(spark, SF_SMOKE, str(tmp_path / "small"), version="")
+    data = str(tmp_path / "wide")
+    for name in os.listdir(tmp_path / "small"):
+        df = spark.read.parquet(str(tmp_path / "small" / name))
+        if "interactions" in name:
+            df = df.withColumn("user_id", F.col("user_id") + wide)
+        df.write.parquet(f"{data}/{name}")
+    users = {r[0] for r in spark.read.parquet(f"{data}/interactions_train.parquet").select("user_id").distinct().collect()}
+    common = ["--data_dir", data, "--min_count", "2", "--spark_session_url", "local[2]"]
+    small = ["--rank", "3", "--max_iter", "2", "--k", "5", "--blocks", "2"]
+    grid = ["--grid_ranks", "2", "--grid_iters", "1", "2", "--grid_regs", "0.1"]
+    for task, flags in ((1, ["--k", "5"]), (2, [*small, *grid]), (3, small)):
+        out = str(tmp_path / f"out{task}")
+        done = subprocess.run(
+            [sys.executable, f"{ROOT}/run_job.py", *common, "--task", str(task), "--output", out, *flags],
+            capture_output=True, text=True, timeout=400, cwd=tmp_path,
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        assert json.loads(done.stdout.strip().splitlines()[-1])["task"] == task
+        written = spark.read.parquet(out)
+        if task == 1:
+            assert written.columns == ["rank", "recording_id", "combined_score"] and written.count() == 5
+        elif task == 2:
+            assert written.count() == 2
+        else:
+            rows = written.collect()
+            assert written.columns == ["user_id", "rank", "recording_id", "score"]
+            assert {r["user_id"] for r in rows} <= users and all(r["recording_id"][:4] in ("mbid", "msid") for r in rows)
+            assert {r["rank"] for r in rows} == {1, 2, 3, 4, 5}
+
+
+def test_grid_has_the_points_of_the_method(spark):
+    args = jobs.parse_args(["--data_dir", "d"])
+    axes = (args.grid_ranks, args.grid_iters, args.grid_regs, args.grid_alphas)
+    assert len(factors.param_grid(factors.als(), *axes)) == 27
+    assert len(factors.param_grid(factors.als(implicit_prefs=True), *axes)) == 108
+
+
+def test_threshold_and_fraction_are_exact(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = [(u, float(rng.randrange(50))) for u in range(40) for _ in range(rng.randrange(1, 60))]
+    listens = spark.createDataFrame(rows, "user_id long, timestamp double")
+    for q in (0.1, 0.5, 0.8, 1.0):
+        got = {r["user_id"]: r["threshold"] for r in splits.time_thresholds(listens, q).collect()}
+        for user in range(40):
+            times = sorted(t for u, t in rows if u == user)
+            rank = max(1, len(times) - int(len(times) - q * len(times)))
+            assert got[user] == times[rank - 1]
+    ids = spark.range(200_000).withColumnRenamed("id", "user_id")
+    for fraction in (0.004, 0.805):
+        share = splits.split_by_user(ids, fraction)[0].count() / 200_000
+        assert abs(share - fraction) < 0.003
+
+
 def test_temporary_tables_are_dropped(spark):
     import os
 
