@@ -123,8 +123,10 @@ def _skew_frames(spark, hot):
     """Joins of raw listens. (Ratings join pairs: a hot user is as many rows as there are songs, at most.)"""
     from encore.operators import splits
 
-    # many map tasks, as a large log has: a partition is split between them
-    train, test = (spark.read.parquet(hot[split]).repartition(12) for split in ("train", "test"))
+    # many files, so many map tasks, as a large log has: a partition is split between them
+    for split in ("train", "test"):
+        spark.read.parquet(hot[split]).repartition(12).write.parquet(f"{hot[split]}-12")
+    train, test = (spark.read.parquet(f"{hot[split]}-12") for split in ("train", "test"))
     return {
         "user_id": {
             "time split": splits.split_by_time(train, 0.8)[0],
