@@ -6,7 +6,7 @@ word ``q`` of a template votes for the diagonal ``p - q``; a passage of the
 template, even with words changed, put in or left out, leaves its votes on one
 diagonal or on neighbouring ones. Votes are aggregated by diagonal,
 neighbouring diagonals are merged, and a merged span is verified: the share of
-the template's k-grams it holds and its length. Short phrases are templates
+the template's words that its k-grams cover, and its length. Short phrases are templates
 of their own, with k = 2, whose every k-gram must vote on one diagonal.
 
 The hits are a thin share of the words; only they (and one row for each text)
@@ -27,14 +27,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 
 K = 5
 NEAR = 3  # diagonals at most this far apart are one span
-SHARE = 0.5  # of a template's k-grams that a verified span holds
+SHARE = 0.6  # of a template's words that the k-grams of a verified span cover
 MAX_BROADCAST_GRAMS = 100_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -82,6 +82,17 @@ def _grams(texts: Mapping[str, str], k: int) -> list[tuple[int, int, list[str]]]
     ]
 
 
+def _covered(places: str) -> Column:
+    """Words under k-grams that begin at the given sorted places."""
+    start = F.struct(F.lit(-K).alias("at"), F.lit(0).alias("n"))
+    return F.aggregate(
+        places,
+        start,
+        lambda so_far, p: F.struct(p.alias("at"), (so_far["n"] + F.least(F.lit(K), p - so_far["at"])).alias("n")),
+        lambda end: end["n"],
+    )
+
+
 def scan(
     docs: DataFrame,
     phrases: Mapping[str, str] = PHRASES,
@@ -152,6 +163,7 @@ def scan(
             F.first("doc_id").alias("doc_id"),
             F.first("n_words").alias("n_words"),
             F.countDistinct("at").alias("votes"),
+            F.collect_set("vote.from").alias("places"),  # as many as the template has k-grams, at most
             F.min("at").alias("first"),
             F.max("at").alias("last"),
         )
@@ -171,10 +183,11 @@ def scan(
             F.first("length").alias("length"),
             F.first("grams").alias("grams"),
             F.sum("votes").alias("votes"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
         )
-        .withColumn("share", F.least(F.lit(1.0), F.col("votes") / F.col("grams")))
+        .withColumn("share", _covered("places") / F.col("length"))
     )
     is_base = F.col("phrase") & (F.col("votes") == F.col("grams"))
     # a passage is about as long as the template whose share it holds

@@ -81,19 +81,23 @@ WITH split AS (
 base AS (
   SELECT rid, pos, label FROM placed JOIN phrases ON array_to_string(words[pos + 1 : pos + length], ' ') = phrase
 ), grams(label, place, gram, length, grams) AS (VALUES {_values(grams)}),
-diagonals AS (
-  SELECT rid, label, length, grams, pos - place AS diagonal, count(*) AS votes, min(pos) AS first, max(pos) AS last
+hits AS (
+  SELECT rid, label, length, place, pos, pos - place AS diagonal
   FROM placed JOIN grams ON array_to_string(words[pos + 1 : pos + {k}], ' ') = gram
-  GROUP BY ALL
 ), marked AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, label ORDER BY diagonal) <= {near} THEN 0 ELSE 1 END AS new
-  FROM diagonals
+  FROM (SELECT DISTINCT rid, label, diagonal FROM hits)
 ), spanned AS (
-  SELECT *, sum(new) OVER (PARTITION BY rid, label ORDER BY diagonal) AS span FROM marked
+  SELECT rid, label, diagonal, sum(new) OVER (PARTITION BY rid, label ORDER BY diagonal) AS span FROM marked
+), places AS (
+  SELECT rid, label, span, place, any_value(length) AS length, min(pos) AS first, max(pos) AS last
+  FROM hits JOIN spanned USING (rid, label, diagonal) GROUP BY rid, label, span, place
+), steps AS (
+  SELECT *, least({k}, coalesce(place - lag(place) OVER (PARTITION BY rid, label, span ORDER BY place), {k})) AS words FROM places
 ), spans AS (
-  SELECT rid, label, least(1.0, sum(votes) / any_value(grams)) AS share FROM spanned
+  SELECT rid, label, sum(words) / any_value(length) AS share FROM steps
   GROUP BY rid, label, span
-  HAVING least(1.0, sum(votes) / any_value(grams)) >= {share} AND max(last) + {k} - min(first) <= 2 * any_value(length)
+  HAVING sum(words) / any_value(length) >= {share} AND max(last) + {k} - min(first) <= 2 * any_value(length)
 ), base_of AS (
   SELECT rid, count(*) AS n, min(pos) AS first, max(pos) AS last, list(DISTINCT label) AS labels FROM base GROUP BY rid
 ), span_of AS (
