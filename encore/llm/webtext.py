@@ -11,7 +11,11 @@ once.
 Elements and class names that say what they are bound the induction on both
 sides: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments never are content, and where a page has an
-``article`` or ``main`` element the slots are the blocks inside it.
+``article`` or ``main`` element the possible slots are the blocks inside it.
+Inside such an element a block is template only if it is the same in nine of
+ten of the host's pages (five at least), and near copies of the reference, of
+which half the blocks or more are the same, do not vote: what copies of an
+article share is not a template.
 
 The reference of a host is a page at the lower quartile of its pages' lengths
 (ties: the smallest id): long enough to hold the template, short enough to
@@ -44,6 +48,7 @@ from encore.llm.common import bounded_batches, materialize
 
 CONSTANT_SHARE = 0.5  # of a host's different pages in which a template node has one text
 CONSTANT_PAGES = 3  # and at least in so many
+INSIDE_SHARE, INSIDE_PAGES = 0.9, 5  # the same inside an article or main element
 
 _RAW = "script|style|title|textarea|iframe|noframes|noembed|xmp"
 _TOKEN = re.compile(
@@ -367,28 +372,29 @@ def extract(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = CONSTA
         .mapInPandas(_align_all, ALIGNED),
         "aligned",
     )
-    open_pages = aligned.filter("not marked")
-    different = open_pages.groupBy("host").agg(F.countDistinct("digest").alias("pages"))
+    n_same = F.size(F.filter("blocks", lambda b: b["same"]))
+    voters = aligned.filter(~F.col("marked") | (2 * n_same < F.size("blocks")))
+    different = voters.groupBy("host", "marked").agg(F.countDistinct("digest").alias("pages"))
     votes = (
-        open_pages.select("host", "digest", F.inline("blocks"))
+        voters.select("host", "marked", "digest", F.inline("blocks"))
         .filter("same")
-        .groupBy("host", "leaf", "digest")
+        .groupBy("host", "marked", "leaf", "digest")
         .agg(F.count("*").alias("n"))
-        .groupBy("host", "leaf")
+        .groupBy("host", "marked", "leaf")
         .agg(F.count("*").alias("equal"))
     )
+    enough = F.when(F.col("marked"), INSIDE_PAGES).otherwise(least)
+    often = F.when(F.col("marked"), INSIDE_SHARE).otherwise(share) * F.col("pages")
     template = materialize(
-        votes.join(different, "host")
-        .filter((F.col("equal") >= least) & (F.col("equal") >= share * F.col("pages")))
-        .groupBy("host")
+        votes.join(different, ["host", "marked"])
+        .filter((F.col("equal") >= enough) & (F.col("equal") >= often))
+        .groupBy("host", "marked")
         .agg(F.collect_set("leaf").alias("template")),
         "template",
     )
     texts = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
     varying = F.filter("blocks", lambda b: ~(b["same"] & F.array_contains("template", b["leaf"])))
-    text = F.when(F.col("marked") | F.col("template").isNull() | (F.size(varying) == 0), texts(F.col("blocks"))).otherwise(
-        texts(varying)
-    )
-    return aligned.join(template, "host", "left").select(
+    text = F.when(F.col("template").isNull() | (F.size(varying) == 0), texts(F.col("blocks"))).otherwise(texts(varying))
+    return aligned.join(template, ["host", "marked"], "left").select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")
     )

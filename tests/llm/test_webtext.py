@@ -92,6 +92,20 @@ def test_constant_nodes_become_template(spark):
     assert found[200] == "Welcome to the site\nChoose a language\nAlone\nx\nImprint and contact"
 
 
+def test_constant_blocks_inside_articles_but_not_what_copies_share(spark):
+    def article(*blocks):
+        return "<body><nav>menu</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article></body>"
+
+    pages = [(i, "http://a.example/", article(f"title {i}", f"body {i}", f"more {i}", "Read our terms")) for i in range(12)]
+    # b: near copies share all but a block; c: a passage in half of the pages
+    pages += [(100 + i, "http://b.example/", article("title", "body", "more", f"stamp {i}")) for i in range(12)]
+    pages += [(200 + i, "http://c.example/", article(f"title {i}", f"body {i}", "passage" if i % 2 else f"own {i}")) for i in range(12)]
+    found = {r["page_id"]: r["text"] for r in webtext.extract(spark.createDataFrame(pages, PAGES)).collect()}
+    assert all(found[i] == f"title {i}\nbody {i}\nmore {i}" for i in range(12))
+    assert all(found[100 + i] == f"title\nbody\nmore\nstamp {i}" for i in range(12))
+    assert all(found[200 + i] == f"title {i}\nbody {i}\n" + ("passage" if i % 2 else f"own {i}") for i in range(12))
+
+
 def test_given_pages_equal_their_articles(spark):
     found = {r["page_id"]: r for r in op2_html_main_text(spark, SF).collect()}
     given = table("pages")
