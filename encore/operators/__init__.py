@@ -1 +1 @@
-"""DataFrame-to-DataFrame operators. None of them runs an action."""
+"""Operators from DataFrame to DataFrame. Those that write a table or fit a model say so."""
