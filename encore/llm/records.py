@@ -198,6 +198,8 @@ def _save(batches: Iterator[pd.DataFrame], folder: str, tokenizer: str, end_id:
             stream.close()
     if n_docs:
         for draft, name in zip(drafts, names):
+            if system.get_file_info(name).is_file:  # an earlier attempt's, the same
+                system.delete_file(name)
             system.move(draft, name)
         yield pd.DataFrame(
             [(shard, names[0], names[1], n_docs, n_tokens, at)],
