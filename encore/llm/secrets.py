@@ -8,9 +8,12 @@ Novelty: a candidate is a run of key characters near a sensitive word. Its
 marginal cost is the compressed size of the candidate with a raw-content
 dictionary of identifiers and the text around it (without the candidate),
 less that of nothing. Ordinary names, words of the text and repeats compress
-to little; a random string costs its entropy. Candidates of at least
-``MIN_NOVEL`` bytes that cost ``BYTES_A_CHAR`` a character are reported as
-``novel`` unless they overlap a span of the patterns.
+to little; a random string costs its entropy. Candidates whose cost is at
+least ``MIN_NOVEL`` bytes and ``RANDOM_SHARE`` of what random strings of their
+alphabet and length cost are reported as ``novel`` unless they overlap a span
+of the patterns. (From about 64 bytes on zstandard codes the literals by
+frequency, so a random string costs its alphabet's entropy and no longer a
+byte a character.)
 
 Defined results: a null text counts as empty (no spans). Each input row gives
 its own row. Extra columns are ignored. An empty table gives an empty result.
@@ -19,7 +22,9 @@ its own row. Extra columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,7 +53,17 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 REACH = 60  # code points after a sensitive word in which a candidate may begin
 AROUND = 1500  # code points of text on each side that prime the dictionary
 MIN_NOVEL = 16
-BYTES_A_CHAR = 0.85
+RANDOM_SHARE = 0.85  # of the cost of a random string
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# What keys are written in, smallest first; dashes group digits, hex and base32.
+ALPHABETS = tuple(sorted((
+    _DIGITS, _DIGITS + "-", _DIGITS + "abcdef", _DIGITS + "abcdef-", _DIGITS + "ABCDEF", _DIGITS + "ABCDEF-",
+    _LOWER, _UPPER, _UPPER + "234567", _UPPER + "234567-", _LOWER + "234567", _LOWER + _DIGITS, _UPPER + _DIGITS,
+    _LOWER + _UPPER, _LOWER + _UPPER + _DIGITS, _LOWER + _UPPER + _DIGITS + "+/", _LOWER + _UPPER + _DIGITS + "-_",
+    _LOWER + _UPPER + _DIGITS + "+/-_",
+), key=len))
+_SETS = tuple(map(frozenset, ALPHABETS))
+EXACT = 512  # lengths up to here are drawn as they are, longer ones to the next lower power of two
 # Names that code is full of; they prime the dictionary.
 IDENTIFIERS = (
     "access_token refresh_token client_secret client_id api_key secret_key private_key public_key password username "
@@ -80,6 +95,26 @@ def novelty(text: str, start: int, end: int) -> int:
     return _cost(text[start:end].encode("utf-8"), primed)
 
 
+@lru_cache(maxsize=None)
+def _drawn(alphabet: int, length: int) -> float:
+    """Mean cost of random strings, drawn with a fixed seed."""
+    import zstandard
+
+    primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    rng = random.Random(f"{alphabet} {length}")
+    draws = ["".join(rng.choices(ALPHABETS[alphabet], k=length)) for _ in range(5)]
+    return sum(_cost(d.encode(), primed) for d in draws) / len(draws)
+
+
+def random_cost(run: str) -> float:
+    """What random strings of the run's alphabet (the smallest that holds it) and length cost."""
+    used = set(run.rstrip("="))
+    alphabet = next(i for i, letters in enumerate(_SETS) if used <= letters)
+    length = len(run)
+    drawn = length if length <= EXACT else min(1 << (length.bit_length() - 1), 1 << 16)
+    return _drawn(alphabet, drawn) * length / drawn
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of the fixed patterns."""
     found = []
@@ -110,7 +145,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int,
             if not (any(c.isdigit() for c in run[0]) and any(c.isalpha() for c in run[0])):
                 continue
             cost = novelty(text, start, end)
-            if cost >= MIN_NOVEL and cost >= BYTES_A_CHAR * (end - start):
+            if cost >= MIN_NOVEL and cost >= RANDOM_SHARE * random_cost(run[0]):
                 found.append((start, end, "novel"))
     return found
 

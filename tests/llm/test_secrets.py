@@ -64,3 +64,19 @@ def test_marginal_bytes_fall_with_what_is_known():
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
     alone, known = f"secret {key}", f"{key} secret {key}"
     assert secrets.novelty(alone, 7, 47) > 2 * secrets.novelty(known, 48, 88)
+
+
+def test_random_strings_of_every_alphabet_and_length_are_novel():
+    rng = random.Random(5)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for letters in (upper + lower + digits + "+/", digits + "ABCDEF", upper + "234567", lower + digits, upper + lower + digits + "-_"):
+        for length in (40, 64, 128, 200, 500, 1600, 5000):
+            for _ in range(5):
+                key = "".join(rng.choices(letters, k=length))
+                text = f"the private key is\nvalue {key} of user_settings"
+                assert secrets._scan_one(text)[3] == 1, (letters, length)
+    # long but ordinary
+    words = "the quick settings page shows every option that a reader of the site may change at any time".split()
+    for _ in range(20):
+        slug = "-".join(rng.choices(words, k=40))
+        assert secrets._scan_one(f"the private key page is /{slug}/7 here")[3] == 0
