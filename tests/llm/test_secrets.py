@@ -80,3 +80,26 @@ def test_random_strings_of_every_alphabet_and_length_are_novel():
     for _ in range(20):
         slug = "-".join(rng.choices(words, k=40))
         assert secrets._scan_one(f"the private key page is /{slug}/7 here")[3] == 0
+
+
+def test_the_cost_alone_decides_on_letters_and_digits():
+    rng = random.Random(6)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for letters in (upper, lower, upper + lower):
+        for length in (24, 40, 200):
+            for _ in range(10):
+                assert secrets._scan_one(f"the access key is {''.join(rng.choices(letters, k=length))} here")[3] == 1
+    assert secrets._scan_one(f"the access key is {''.join(rng.choices(digits, k=18))} here")[3] == 1
+    for name in ("AuthenticationManagerBuilder", "responsibilities", "DEFAULT_CONNECTION_TIMEOUT", "Krankenversicherung",
+                 "/usr/local/share/ca-certificates", "state-of-the-art-research", "getAuthorizationHeader"):
+        assert secrets._scan_one(f"the access key of {name} is here")[3] == 0, name
+
+
+def test_context_on_both_sides_and_along_a_dotted_token():
+    rng = random.Random(7)
+    a, b, c = ("".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=k)) for k in (40, 90, 43))
+    assert secrets._scan_one(f"{a}  # api key")[5] == "novel:0:40"
+    assert secrets._scan_one(f"| {a} | access key |")[5] == "novel:2:42"
+    assert secrets._scan_one(f"{a}{' ' * 61}access key")[3] == 0
+    assert secrets._scan_one(f"Bearer {a}.{b}.{c}")[5] == "novel:7:47,novel:48:138,novel:139:182"
+    assert secrets._scan_one(f"{a}.{b}.{c} is the bearer")[3] == 3
