@@ -1,23 +1,26 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come out of one template. Each page's DOM is reduced to its
-blocks (inline markup is part of a block's text) and aligned with the host's
-reference page by simple tree matching: the largest order-preserving matching
-of equal labels, level by level. A reference node whose text is the same in
-most of the pages that align with it is constant and becomes template; nodes
-whose text varies are slots and become content. Exact copies of a page vote
-once.
+Pages of one host and layout (the path of the article or main element) come
+out of one template. Each page's DOM is reduced to its blocks (inline markup is
+part of a block's text) and aligned with its layout's reference page by simple
+tree matching: the largest order-preserving matching of equal labels, level by
+level. A reference node whose text is the same in most of the pages that align
+with it is constant and becomes template; so does a block that the reference
+lacks and that stands at the same path with the same text in as many pages. Nodes whose text varies are slots and become content. Exact copies of a
+page vote once.
 
 Elements and class names that say what they are bound the induction on both
 sides: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments never are content, and where a page has an
 ``article`` or ``main`` element the possible slots are the blocks inside it.
 Inside such an element a block is template only if it is the same in nine of
-ten of the host's pages (five at least), and near copies of the reference, of
-which half the blocks or more are the same, do not vote: what copies of an
-article share is not a template.
+ten of the different pages (five at least). Pages of near-equal content have
+one vote together: those whose own blocks (not the same as the reference's)
+repeat half of their words (pairs of words from eight words on) from the
+reference vote with it, the others by the smallest hash of these. What copies
+of an article share is thus no template, however long or short articles are.
 
-The reference of a host is a page at the lower quartile of its pages' lengths
+The reference of a layout is a page at the lower quartile of its pages' lengths
 (ties: the smallest id): long enough to hold the template, short enough to
 align fast. Every page is aligned with one page, so a host with a third of all
 pages is spread over all tasks; votes are summed before they are shuffled.
@@ -35,6 +38,7 @@ from __future__ import annotations
 import hashlib
 import re
 import sys
+import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from html import unescape
@@ -46,6 +50,7 @@ from pyspark.sql import functions as F
 
 from encore.llm.common import bounded_batches, materialize
 
+FEW_WORDS = 8  # texts under so many words are compared by words, others by pairs of words
 CONSTANT_SHARE = 0.5  # of a host's different pages in which a template node has one text
 CONSTANT_PAGES = 3  # and at least in so many
 INSIDE_SHARE, INSIDE_PAGES = 0.9, 5  # the same inside an article or main element
@@ -59,6 +64,7 @@ _TOKEN = re.compile(
 _UNENDED = re.compile(r"<[a-zA-Z/!?]")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_NUMBER = re.compile(r"[0-9]+")
 _PART = re.compile(r"[a-z0-9]+")
 
 INLINE = frozenset(
@@ -96,15 +102,16 @@ _WALLS = frozenset("ul ol dl table div section article main body html form nav h
 class Node:
     """A block element or a run of text in one. A leaf has a text, others have children."""
 
-    __slots__ = ("tag", "label", "children", "text", "number", "content", "inside")
+    __slots__ = ("tag", "label", "children", "text", "number", "content", "inside", "path")
 
-    def __init__(self, tag: str, label: str, content: bool, inside: bool):
+    def __init__(self, tag: str, label: str, content: bool, inside: bool, path: int = 0):
         self.tag, self.label = tag, label
         self.children: list[Node] = []
         self.text: str | None = None
         self.number = -1
         self.content = content  # nothing around it says that it is no content
         self.inside = inside  # within an article or main element
+        self.path = path  # hash of the steps from the root
 
 
 def _value(match: re.Match) -> str:
@@ -122,22 +129,39 @@ def _is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
     return not parts.isdisjoint(BOILERPLATE) or (not inside and not parts.isdisjoint(HEADERS))
 
 
-def parse(page: str | None) -> tuple[Node, list[Node], int]:
-    """The tree of a page's blocks, its leaves in order, and its depth."""
+def _step(tag: str, names: str) -> bytes:
+    """An element on a path: its tag and first class, numbers in it left out."""
+    first = names.split(None, 1)[:1]
+    return (f"/{tag}.{_NUMBER.sub('#', first[0])}" if first and tag not in ("html", "body") else f"/{tag}").encode(
+        "utf-8", "surrogatepass"
+    )
+
+
+def layout_of(page: str | None) -> int:
+    """Hash of the path to the article or main element of a page's first content there (none: 0)."""
+    return parse(page, True)[2]
+
+
+def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node], int]:
+    """The tree of a page's blocks, its leaves in order, and its depth (or, read no further than needed, its layout)."""
     root = Node("#root", "#root", True, False)
     stack, buffer = [root], []
     hidden = 0  # depth of inline elements that are no content
     open_hidden: list[str] = []
     deepest = 1
+    layout = 0
     page = page or ""
 
     def flush() -> None:
+        nonlocal layout
         if buffer:
             text = " ".join("".join(buffer).split())
             buffer.clear()
             if text:
                 top = stack[-1]
-                leaf = Node("#text", "#text", top.content, top.inside)
+                leaf = Node("#text", "#text", top.content, top.inside, top.path)
+                if not layout and top.inside and top.content:
+                    layout = next(x.path for x in reversed(stack) if x.tag in MAIN)
                 leaf.text = text
                 top.children.append(leaf)
 
@@ -156,6 +180,8 @@ def parse(page: str | None) -> tuple[Node, list[Node], int]:
             piece = page[at : token.start()]
             buffer.append(unescape(piece) if "&" in piece else piece)
         at = token.end()
+        if layout_only and layout:
+            return root, [], layout
         if not token[3]:
             continue  # a comment, a declaration or an element of raw text
         tag = token[3].lower()
@@ -184,11 +210,13 @@ def parse(page: str | None) -> tuple[Node, list[Node], int]:
             parent = stack[-1]
             named = _CLASS.search(token[4]) if token[4] else None
             inside = parent.inside or tag in MAIN
+            names = _value(named).lower() if named else ""
             node = Node(
                 tag,
-                f"{tag}.{_value(named).lower()}" if named else tag,
+                f"{tag}.{names}" if named else tag,
                 parent.content and not _is_boilerplate(tag, token[4], parent.inside),
                 inside,
+                zlib.crc32(_step(tag, names), parent.path),
             )
             if tag in MAIN and not node.content:
                 node.inside = parent.inside
@@ -216,6 +244,8 @@ def parse(page: str | None) -> tuple[Node, list[Node], int]:
         buffer.append(unescape(rest) if "&" in rest else rest)
     close(1)
     flush()
+    if layout_only:
+        return root, [], layout
     leaves: list[Node] = []
     todo = [root]
     while todo:
@@ -302,99 +332,145 @@ def align(reference: Node, page: Node, depth: int) -> dict[int, tuple[int, bool]
     return found
 
 
-_REFERENCES: OrderedDict[str, tuple[Node, int]] = OrderedDict()  # parsed, of this worker process
+_REFERENCES: OrderedDict[str, tuple[Node, int, np.ndarray, np.ndarray]] = OrderedDict()  # parsed, of this worker process
 _KEPT = 200
 
 
-def _reference(html: str) -> tuple[Node, int]:
+def _possible(leaves: list[Node]) -> tuple[bool, list[Node]]:
+    """Whether a page marks its main part, and its possible blocks."""
+    marked = any(x.content and x.inside for x in leaves)
+    return marked, [x for x in leaves if x.content and (x.inside or not marked)]
+
+
+def _grams(texts: list[str], size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words of the texts, one after the other."""
+    words = " ".join(texts).encode("utf-8", "surrogatepass").split(b" ")
+    runs = words if size == 1 else map(b" ".join, zip(words, words[1:]))
+    return np.fromiter(map(zlib.crc32, runs), dtype=np.uint32)
+
+
+def _reference(html: str) -> tuple[Node, int, np.ndarray, np.ndarray]:
+    """Tree and depth of a reference, and the different words and pairs of words of its blocks."""
     if html in _REFERENCES:
         _REFERENCES.move_to_end(html)
         return _REFERENCES[html]
-    root, _, depth = parse(html)
-    _REFERENCES[html] = (root, depth)
+    root, leaves, depth = parse(html)
+    texts = [x.text for x in _possible(leaves)[1]]
+    _REFERENCES[html] = made = (root, depth, np.unique(_grams(texts, 1)), np.unique(_grams(texts, 2)))
     if len(_REFERENCES) > _KEPT:
         _REFERENCES.popitem(last=False)
-    return root, depth
+    return made
 
 
-def blocks_of(html: str | None, reference: str | None) -> tuple[bool, list[tuple[str, int, bool]]]:
-    """Whether the page marks its main part, and its possible blocks ``(text, reference leaf or -1, same text)``."""
+def cluster_of(own: list[str], n_blocks: int, words: np.ndarray, pairs: np.ndarray) -> int:
+    """Pages of one number vote together: -1 with the reference, whose words these are."""
+    if not own:
+        return -1
+    few = sum(t.count(" ") + 1 for t in own) < FEW_WORDS
+    grams = _grams(own, 1 if few else 2)
+    known = 2 * int(np.isin(grams, words if few else pairs).sum())
+    if known > len(grams) or (known == len(grams) and 2 * len(own) < n_blocks):
+        return -1
+    return int((_grams(own, 2) if few and len(grams) > 1 else grams).min())
+
+
+def blocks_of(html: str | None, reference: str | None) -> tuple[bool, list[tuple[str, int]], int]:
+    """Whether the page marks its main part, its possible blocks ``(text, key)``, and its cluster.
+
+    The key is a hash of path and text, and 0 for a block that repeats one
+    which the alignment matches: that one is the template's.
+    """
     root, leaves, depth = parse(html)
-    marked = any(x.content and x.inside for x in leaves)
+    marked, possible = _possible(leaves)
     aligned: dict[int, tuple[int, bool]] = {}
     if reference is not None:
-        base, base_depth = _reference(reference)
+        base, base_depth, words, pairs = _reference(reference)
         aligned = align(base, root, max(depth, base_depth))
-    return marked, [
-        (x.text, *aligned.get(x.number, (-1, False)))
-        for x in leaves
-        if x.content and (x.inside or not marked)
-    ]
+    same = {x.number for x in possible if aligned.get(x.number, (-1, False))[1]}
+    keys = {
+        x.number: int.from_bytes(
+            hashlib.blake2b(x.text.encode("utf-8", "surrogatepass"), digest_size=8, salt=x.path.to_bytes(4)).digest()
+        ) >> 1 | 1
+        for x in possible
+    }
+    matched = {keys[n] for n in same}
+    blocks = [(x.text, 0 if x.number not in same and keys[x.number] in matched else keys[x.number]) for x in possible]
+    own = [x.text for x in possible if x.number not in same]
+    if marked and reference is not None:
+        return marked, blocks, cluster_of(own, len(blocks), words, pairs)
+    digest = hashlib.blake2b("\n".join(b[0] for b in blocks).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return marked, blocks, int.from_bytes(digest, signed=True)
 
 
-ALIGNED = "page_id long, url string, host string, marked boolean, digest string, blocks array<struct<text:string,leaf:int,same:boolean>>"
+ALIGNED = "page_id long, url string, site long, marked boolean, cluster long, blocks array<struct<text:string,key:long>>"
 
 
 def _align_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for page_id, url, host, html, reference in zip(*(batch[c] for c in ("page_id", "url", "host", "html", "reference"))):
-            marked, blocks = blocks_of(html, reference)
-            digest = hashlib.md5("\n".join(b[0] for b in blocks).encode("utf-8", "surrogatepass")).hexdigest()
-            rows.append(
-                (page_id, url, host, marked, digest, [{"text": t, "leaf": leaf, "same": same} for t, leaf, same in blocks])
-            )
-        frame = pd.DataFrame(rows, columns=["page_id", "url", "host", "marked", "digest", "blocks"])
+        for page_id, url, site, html, reference in zip(*(batch[c] for c in ("page_id", "url", "site", "html", "reference"))):
+            marked, blocks, cluster = blocks_of(html, reference)
+            rows.append((page_id, url, site, marked, cluster, [{"text": t, "key": key} for t, key in blocks]))
+        frame = pd.DataFrame(rows, columns=["page_id", "url", "site", "marked", "cluster", "blocks"])
         yield frame.astype({"page_id": "Int64"})
 
 
 def references(pages: DataFrame) -> DataFrame:
-    """``host, reference``: a page at the lower quartile of each host's page lengths."""
-    lengths = pages.filter("html <> ''").select("host", "page_id", F.length("html").alias("length"))
-    middle = lengths.groupBy("host").agg(F.percentile_approx("length", 0.25, 10_000).alias("length"))
-    chosen = materialize(lengths.join(middle, ["host", "length"]).groupBy("host", "length").agg(
+    """``site, reference``: a page at the lower quartile of each site's page lengths."""
+    lengths = materialize(
+        pages.filter("html <> ''").select("site", "page_id", F.length("html").alias("length")), "lengths"
+    )
+    middle = lengths.groupBy("site").agg(F.percentile_approx("length", 0.25, 10_000).alias("length"))
+    chosen = materialize(lengths.join(middle, ["site", "length"]).groupBy("site", "length").agg(
         F.min("page_id").alias("chosen")
     ), "chosen")
-    fetched = pages.join(chosen, "host").filter(
+    fetched = pages.join(chosen, "site").filter(
         (F.length("html") == F.col("length")) & F.col("page_id").eqNullSafe(F.col("chosen"))
     )
-    return materialize(fetched.groupBy("host").agg(F.min("html").alias("reference")), "references")
+    return materialize(fetched.groupBy("site").agg(F.min("html").alias("reference")), "references")
 
 
 def extract(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = CONSTANT_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for each row of ``pages(page_id, url, html)``."""
     bounded_batches(pages.sparkSession)
+
+    @F.pandas_udf("long")
+    def layouts(htmls: pd.Series) -> pd.Series:
+        return pd.Series([layout_of(h) for h in htmls], dtype="int64")
+
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
+    own = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), "url", "html", F.xxhash64(host, layouts("html")).alias("site")
+    )
     aligned = materialize(
-        own.join(references(own), "host", "left")
-        .select("page_id", "url", "host", "html", "reference")
+        own.join(references(own), "site", "left")
+        .select("page_id", "url", "site", "html", "reference")
         .mapInPandas(_align_all, ALIGNED),
         "aligned",
     )
-    n_same = F.size(F.filter("blocks", lambda b: b["same"]))
-    voters = aligned.filter(~F.col("marked") | (2 * n_same < F.size("blocks")))
-    different = voters.groupBy("host", "marked").agg(F.countDistinct("digest").alias("pages"))
+    different = (
+        aligned.select("site", "marked", "cluster").distinct().groupBy("site", "marked").agg(F.count("*").alias("pages"))
+    )
     votes = (
-        voters.select("host", "marked", "digest", F.inline("blocks"))
-        .filter("same")
-        .groupBy("host", "marked", "leaf", "digest")
-        .agg(F.count("*").alias("n"))
-        .groupBy("host", "marked", "leaf")
+        aligned.select("site", "marked", "cluster", F.explode("blocks.key").alias("key"))
+        .filter("key <> 0")
+        .distinct()
+        .groupBy("site", "marked", "key")
         .agg(F.count("*").alias("equal"))
     )
     enough = F.when(F.col("marked"), INSIDE_PAGES).otherwise(least)
     often = F.when(F.col("marked"), INSIDE_SHARE).otherwise(share) * F.col("pages")
     template = materialize(
-        votes.join(different, ["host", "marked"])
-        .filter((F.col("equal") >= enough) & (F.col("equal") >= often))
-        .groupBy("host", "marked")
-        .agg(F.collect_set("leaf").alias("template")),
+        votes.filter(F.col("equal") >= enough)
+        .join(different, ["site", "marked"])
+        .filter(F.col("equal") >= often)
+        .groupBy("site", "marked")
+        .agg(F.collect_set("key").alias("template")),
         "template",
     )
     texts = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
-    varying = F.filter("blocks", lambda b: ~(b["same"] & F.array_contains("template", b["leaf"])))
+    varying = F.filter("blocks", lambda b: ~F.array_contains("template", b["key"]))
     text = F.when(F.col("template").isNull() | (F.size(varying) == 0), texts(F.col("blocks"))).otherwise(texts(varying))
-    return aligned.join(template, ["host", "marked"], "left").select(
+    return aligned.join(template, ["site", "marked"], "left").select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")
     )

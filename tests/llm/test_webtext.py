@@ -106,6 +106,43 @@ def test_constant_blocks_inside_articles_but_not_what_copies_share(spark):
     assert all(found[200 + i] == f"title {i}\nbody {i}\n" + ("passage" if i % 2 else f"own {i}") for i in range(12))
 
 
+def test_notices_of_short_articles_and_what_the_reference_lacks_are_template(spark):
+    import random
+
+    rng = random.Random(4)
+    words = [f"{a}{b}" for a in "kamo relu tisa nove".split() for b in "abcdefghijklmnopqrstuvwxyz"]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    page = lambda tag, *blocks: f"<body><{tag}>" + "".join(f"<p>{b}</p>" for b in blocks) + f"</{tag.split()[0]}></body>"
+    one, two = "Read our terms before you write to us", "All rights are with the authors of this site"
+    three = "We set small files on your machine"
+    wanted, pages = {}, []
+
+    def add(host, html, *content):
+        wanted[len(pages)] = "\n".join(content)
+        pages.append((len(pages), f"http://{host}/{len(pages)}", html))
+
+    for i in range(20):
+        title, body = text(3), text(12)
+        add("a", page("article", title, body, one, two), title, body)
+        add("b", page("article", body, one), body)
+        add("c", page("article", body, one, two, three), body)
+        # pages of one length, so the first is the reference, and it has no notice
+        own = [text(6)[: len(one)].ljust(len(one), "x")] if i == 0 else []
+        add("d", page("article", body, body[::-1], *(own or [one])), body, body[::-1], *own)
+        add("e", page("article class='news'", title, body, one), title, body)  # two layouts
+        add("e", page("main", title, body, two), title, body)
+        add("w", page(f"article class='post-{i} post'", title, body, one), title, body)
+    # g: copies of one article, a paragraph edited here and there
+    story = [text(30) for _ in range(6)]
+    for i in range(20):
+        mine = [*story]
+        mine[i % 6] = mine[i % 6] + f" edited {i}"
+        add("g", page("article", *mine), *mine)
+    found = {r["page_id"]: r["text"] for r in webtext.extract(spark.createDataFrame(pages, PAGES)).collect()}
+    wrong = [(pages[i][1], found[i], t) for i, t in wanted.items() if found[i] != t]
+    assert not wrong, (len(wrong), wrong[:3])
+
+
 def test_given_pages_equal_their_articles(spark):
     found = {r["page_id"]: r for r in op2_html_main_text(spark, SF).collect()}
     given = table("pages")
