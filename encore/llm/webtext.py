@@ -13,6 +13,7 @@ Elements and class names that say what they are bound the induction on both
 sides: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments never are content, and where a page has an
 ``article`` or ``main`` element the possible slots are the blocks inside it.
+(There only whole class names and roles count, no parts of them and no ids.)
 Inside such an element a block is template only if it is the same in nine of
 ten of the different pages (five at least). Pages of near-equal content have
 one vote together: those whose own blocks (not the same as the reference's)
@@ -62,8 +63,8 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _UNENDED = re.compile(r"<[a-zA-Z/!?]")
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_CLASS = re.compile(r"(?<![\w-])(class)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9]+")
 _PART = re.compile(r"[a-z0-9]+")
 
@@ -76,7 +77,10 @@ NEVER = frozenset(
     "nav header footer aside form script style noscript template iframe object embed svg canvas audio video button "
     "select textarea input dialog menu head title fieldset".split()
 )
-# Parts of a class, id or role that say the element is no content.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Parts of a class, id or role that say the element is no content. Inside an
+# article or main element only whole classes and roles do, the votes decide on
+# the rest; the id of a heading is its anchor.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer contentinfo complementary cookie cookies consent notice popup modal newsletter "
@@ -115,7 +119,7 @@ class Node:
 
 
 def _value(match: re.Match) -> str:
-    return match[1] or match[2] or match[3] or ""
+    return match[2] or match[3] or match[4] or ""
 
 
 def _is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
@@ -123,7 +127,12 @@ def _is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    parts = {p for m in _NAMED.finditer(attributes) for p in _PART.findall(_value(m).lower())}
+    parts: set[str] = set()
+    for m in _NAMED.finditer(attributes):
+        if m[1].lower() == "id" and (inside or tag in HEADINGS):
+            continue
+        value = _value(m).lower()
+        parts.update(value.split() if inside else _PART.findall(value))
     if tag in MAIN:
         return not parts.isdisjoint(NOT_MAIN)
     return not parts.isdisjoint(BOILERPLATE) or (not inside and not parts.isdisjoint(HEADERS))

@@ -34,6 +34,19 @@ def test_article_bounds_the_text():
     assert text_of("<article><article class=comment><p>c</p></article></article><p>x</p>") == "x"
 
 
+def test_names_inside_an_article_drop_whole_classes_and_roles_only():
+    kept = (
+        "<h2 id='related-work'>Related work</h2><section id='comments-received'><p>We had three.</p></section><p id='search'>We search."
+        "</p><div class='share-price'>Up 3 %</div><p>See <a data-id='ad-12' href='/x'>the list</a></p><p data-class='ad'>more</p>"
+    )
+    wanted = "Related work\nWe had three.\nWe search.\nUp 3 %\nSee the list\nmore"
+    dropped = "<div class='post share'>share</div><div role='search'>find</div><section class='comments'><p>said</p></section>"
+    for tag in ("article", "main"):
+        assert text_of(f"<{tag}>{kept}{dropped}</{tag}><p id='search'>x</p>") == wanted
+    # without them, a heading's anchor and data- attributes say nothing
+    assert text_of("<h2 id='related-work'>Related work</h2><p data-id='ad-12'>y</p><p id='search'>x</p>") == "Related work\ny"
+
+
 def test_broken_markup_and_depth():
     assert text_of("") == text_of(None) == "" == text_of("<p") == text_of("<!-- open")
     assert text_of("plain <b>text") == "plain text"
