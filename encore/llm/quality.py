@@ -30,6 +30,11 @@ from encore.llm.common import SPACE, let, materialize, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+# Letters and marks of scripts written without spaces between words, as a character class body.
+UNSPACED = (
+    r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsYi}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
+    r"\p{IsJavanese}\p{IsBalinese}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{IsTai_Tham}\p{IsTai_Viet}"
+)
 
 
 def n_symbols(text: Column) -> Column:
@@ -125,6 +130,11 @@ def _share(pattern: str, text: Column) -> Column:
     return F.length(F.regexp_replace(text, pattern, ""))
 
 
+def unspaced(text: Column) -> Column:
+    """Whether at least half of a text's letters and marks are of scripts written without spaces."""
+    return _share(f"[^{UNSPACED}]+", text) * 2 >= _share(r"[^\p{L}\p{M}]+", text)
+
+
 def rules(text: Column | None = None) -> list[Rule]:
     """The default rules over a text. The first two are the base rules.
 
@@ -141,13 +151,14 @@ def rules(text: Column | None = None) -> list[Rule]:
         ),
         # more than one symbol to ten words
         Rule("symbols", let(n_words, lambda n: 10 * n_symbols(text) > n)),
-        # words of under 2 or over 15 characters on average
+        # words of under 2 or over 15 characters on average; a text that is mostly in scripts
+        # without spaces has no words between them, so no upper bound
         Rule(
             "word_length",
             let(
                 words(text),
                 lambda w: (F.length(F.array_join(w, "")) < 2 * F.size(w))
-                | (F.length(F.array_join(w, "")) > 15 * F.size(w)),
+                | ((F.length(F.array_join(w, "")) > 15 * F.size(w)) & ~unspaced(text)),
             ),
         ),
         # three lines or more, and over three in ten, repeat an earlier line
@@ -161,8 +172,8 @@ def rules(text: Column | None = None) -> list[Rule]:
         ),
         # at least half of the letters are capitals
         Rule("capitals", (_share(r"[^\p{Lu}]+", text) * 2 >= _share(r"[^\p{L}]+", text)) & text.rlike(r"\p{L}")),
-        # fewer than six characters in ten of the words are letters
-        Rule("letters", 10 * _share(r"[^\p{L}]+", text) < 6 * _share(f"[{SPACE}]+", text)),
+        # fewer than six characters in ten of the words are letters or their combining marks
+        Rule("letters", 10 * _share(r"[^\p{L}\p{M}]+", text) < 6 * _share(f"[{SPACE}]+", text)),
     ]
 
 

@@ -80,6 +80,28 @@ def test_clean_text_is_kept_and_junk_is_not(spark):
     assert found == {1: True} | dict.fromkeys(junk, False)
 
 
+def test_clean_text_of_any_script_is_kept(spark):
+    clean = {
+        "hi": "यह एक साधारण वाक्य है जिसमें हिन्दी के बहुत से शब्द हैं और हम इसे पढ़ते हुए कुछ नया सीखते हैं ताकि आगे चलकर काम आए",
+        "ta": "இது ஒரு எளிய தமிழ் வாக்கியம் ஆகும் இதில் பல சொற்கள் உள்ளன நாங்கள் இதைப் படித்து புதிய செய்திகளைக் கற்றுக் கொள்கிறோம் பின்னர் அது நமக்கு உதவும் என்று நம்புகிறோம் மேலும் பலர் இதை விரும்பிப் படிக்கிறார்கள்",
+        "my": "မြန်မာ ဘာသာ စကား ကို ကျွန်တော် တို့ နေ့စဉ် သုံး ပါ သည် ဤ စာကြောင်း သည် ရိုးရှင်း သော ဝါကျ ဖြစ် သည် ကျေးဇူး တင် ပါ သည် မိတ်ဆွေ",
+        "zh": " ".join(f"这是第{c}个句子里面写的是普通的中文内容没有任何空格分开词语。" for c in "一二三四五六七八九十百千万东西南北春夏秋冬"),
+        "ja": " ".join(f"これは{c}についての普通の日本語の文章で単語の間に空白はありません。" for c in "一二三四五六七八九十百千万東西南北春夏秋冬"),
+        "th": " ".join(f"นี่คือประโยคภาษาไทยธรรมดาที่ไม่มีการเว้นวรรคระหว่างคำ{c}" for c in "กขคงจฉชซญดตถทธนบปผพฟมย"),
+    }
+    words = clean["zh"].split()[0]
+    junk = {
+        "long": " ".join("x" * 30 + str(i) for i in range(30)),
+        "some": " ".join(f"{words[:4]}{'abcdefghij' * 3}{i}" for i in range(30)),
+        "marks": " ".join(f"{i * 7919}" for i in range(60)),
+    }
+    names = [*clean, *junk]
+    given = docs(spark, [(i, (clean | junk)[n]) for i, n in enumerate(names)])
+    found = {names[r["doc_id"]]: r["kept"] for r in quality.report(given).collect()}
+    assert found == dict.fromkeys(clean, True) | dict.fromkeys(junk, False)
+    assert {names[r["doc_id"]] for r in quality.keep(given).collect()} == set(clean)
+
+
 def test_no_python_in_the_plan(spark):
     plan = quality.report(docs(spark, [(1, "a b")])) ._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
