@@ -5,7 +5,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 from encore.operators import factors, indexing, prep, splits
 from encore.plans import catalogue, jobs
 from encore.sources import fixtures
@@ -58,7 +58,7 @@ def test_launcher_runs_every_task_and_its_output_is_decoded(spark, tmp_path):
     import subprocess
     import sys
 
-    from conftest import ROOT
+    from paths import ROOT
 
     wide = 1 << 40
     fixtures.write_dataset_files(spark, SF_SMOKE, str(tmp_path / "small"), version="")

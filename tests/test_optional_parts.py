@@ -5,7 +5,7 @@ import shutil
 import subprocess
 import sys
 
-from conftest import ROOT
+from paths import ROOT
 
 
 def test_the_rest_works_without_them(tmp_path):

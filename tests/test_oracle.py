@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 from oracle_compare import compare, duck
 
 SQL = entry.oracle_sql()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMOKE
+from paths import SF_SMOKE
 from encore.operators import popularity, prep, ranking
 from encore.plans import catalogue
 from encore.session import cluster_conf

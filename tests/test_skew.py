@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from paths import SF_CHECK
 from encore.operators import popularity, prep
 from encore.plans import catalogue
 from encore.plans import oracle as O
