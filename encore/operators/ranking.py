@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,6 +39,11 @@ from encore.session import ensure_checkpoint_dir
 
 USER = "user_id"
 METRIC_COLUMNS = ["precision_at_k", "map", "map_at_k", "ndcg_at_k"]
+Key = str | list[str]  # one user column, or several that name a user together
+
+
+def _cols(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
 # ---------------------------------------------------------------- run sums
@@ -59,24 +65,24 @@ def _ap_sum(start: Column, length: Column, before: Column) -> Column:
     return F.when(length == 1, single).otherwise(run)
 
 
-def _run_sums(runs: DataFrame, k: int, user_col: str, unit_runs: bool) -> DataFrame:
+def _run_sums(runs: DataFrame, k: int, user_col: Key, unit_runs: bool) -> DataFrame:
     """Per-user sums over hit runs: hits below k, AP and AP@k numerators, DCG@k."""
     start, length, before = F.col("start"), F.col("length"), F.col("before")
     if unit_runs:
         # Every run is one hit at ``start`` with ``before`` earlier hits.
         in_k = start < F.lit(k)
         ap = (before + F.lit(1)).cast("double") / (start + F.lit(1)).cast("double")
-        return runs.groupBy(user_col).agg(
+        return runs.groupBy(*_cols(user_col)).agg(
             F.count(F.when(in_k, F.lit(1))).alias("hits_at_k"),
             F.sum(ap).alias("ap_sum"),
             F.sum(F.when(in_k, ap).otherwise(F.lit(0.0))).alias("ap_k_sum"),
             F.sum(F.when(in_k, F.lit(1.0) / F.log(start + F.lit(2))).otherwise(F.lit(0.0))).alias("dcg_k"),
         )
     prepared = runs.select(
-        user_col, "start", "length", "before", _precision_sum(start, length, F.lit(k)).alias("in_k")
+        *_cols(user_col), "start", "length", "before", _precision_sum(start, length, F.lit(k)).alias("in_k")
     )
     in_k = F.col("in_k")
-    return prepared.groupBy(user_col).agg(
+    return prepared.groupBy(*_cols(user_col)).agg(
         F.sum(in_k).alias("hits_at_k"),
         F.sum(_ap_sum(start, length, before)).alias("ap_sum"),
         F.sum(F.when(in_k > 0, _ap_sum(start, in_k, before)).otherwise(F.lit(0.0))).alias("ap_k_sum"),
@@ -85,7 +91,7 @@ def _run_sums(runs: DataFrame, k: int, user_col: str, unit_runs: bool) -> DataFr
 
 
 def per_user_metrics(
-    runs: DataFrame, users: DataFrame, k: int, user_col: str = USER, unit_runs: bool = False
+    runs: DataFrame, users: DataFrame, k: int, user_col: Key = USER, unit_runs: bool = False
 ) -> DataFrame:
     """Per-user metrics from hit runs.
 
@@ -98,9 +104,9 @@ def per_user_metrics(
     n = F.col("n_labels")
     has = n > 0
     zero = F.lit(0.0)
-    joined = users.join(sums, on=user_col, how="left")
+    joined = users.join(sums, on=_cols(user_col), how="left")
     return joined.select(
-        F.col(user_col),
+        *_cols(user_col),
         n.alias("n_labels"),
         F.when(has, F.coalesce(F.col("hits_at_k"), F.lit(0)) / F.lit(float(k))).otherwise(zero).alias("precision_at_k"),
         F.when(has, F.coalesce(F.col("ap_sum"), zero) / n).otherwise(zero).alias("map"),
@@ -124,37 +130,37 @@ def mean_metrics(per_user: DataFrame, k: int, decimals: int | None = None) -> Da
 # ------------------------------------------------------------ run builders
 
 
-def runs_from_hits(hits: DataFrame, user_col: str = USER, pos_col: str = "pos") -> DataFrame:
+def runs_from_hits(hits: DataFrame, user_col: Key = USER, pos_col: str = "pos") -> DataFrame:
     """Runs of length 1 from hit rows ``(user, pos)`` with distinct positions.
 
     The window numbers each user's hits; it is used only where a user's hits
     are bounded by a list length k (model or top-k predictions).
     """
-    w = Window.partitionBy(user_col).orderBy(pos_col)
+    w = Window.partitionBy(*_cols(user_col)).orderBy(pos_col)
     return hits.select(
-        F.col(user_col),
+        *_cols(user_col),
         F.col(pos_col).cast("bigint").alias("start"),
         F.lit(1).cast("bigint").alias("length"),
         (F.row_number().over(w) - 1).cast("bigint").alias("before"),
     )
 
 
-def label_counts(labels: DataFrame, user_col: str = USER, item_col: str = "item", distinct: bool = False) -> DataFrame:
+def label_counts(labels: DataFrame, user_col: Key = USER, item_col: str = "item", distinct: bool = False) -> DataFrame:
     """``(user, n_labels)``: distinct labels per user.
 
     ``distinct=True`` declares the rows already distinct, so a plain count
     replaces a second distinct aggregation.
     """
     if distinct:
-        return labels.groupBy(user_col).agg(F.count(item_col).alias("n_labels"))
-    return labels.groupBy(user_col).agg(F.countDistinct(item_col).alias("n_labels"))
+        return labels.groupBy(*_cols(user_col)).agg(F.count(item_col).alias("n_labels"))
+    return labels.groupBy(*_cols(user_col)).agg(F.countDistinct(item_col).alias("n_labels"))
 
 
 def list_metrics(
     predictions: DataFrame,
     labels: DataFrame,
     k: int,
-    user_col: str = USER,
+    user_col: Key = USER,
     item_col: str = "item",
     pos_col: str = "pos",
     users: DataFrame | None = None,
@@ -167,17 +173,18 @@ def list_metrics(
     (the inner join of the two lists), or the ``users`` given; a given user
     without labels scores 0.
     """
-    distinct_labels = labels.where(F.col(user_col).isNotNull()).select(user_col, item_col).distinct()
-    hits = predictions.join(distinct_labels, on=[user_col, item_col], how="inner").select(user_col, pos_col)
+    user = _cols(user_col)
+    distinct_labels = labels.dropna(subset=user).select(*user, item_col).distinct()
+    hits = predictions.join(distinct_labels, on=[*user, item_col], how="inner").select(*user, pos_col)
     counts = label_counts(distinct_labels, user_col, item_col, distinct=True)
     if users is None:
-        evaluated = counts.join(predictions.select(user_col).distinct(), on=user_col, how="left_semi")
+        evaluated = counts.join(predictions.select(*user).distinct(), on=user, how="left_semi")
     else:
         evaluated = (
-            users.select(user_col)
+            users.select(*user)
             .distinct()
-            .join(counts, on=user_col, how="left")
-            .select(user_col, F.coalesce(F.col("n_labels"), F.lit(0)).alias("n_labels"))
+            .join(counts, on=user, how="left")
+            .select(*user, F.coalesce(F.col("n_labels"), F.lit(0)).alias("n_labels"))
         )
     return per_user_metrics(runs_from_hits(hits, user_col, pos_col), evaluated, k, user_col, unit_runs=True)
 
@@ -186,7 +193,7 @@ def shared_list_metrics(
     ranked: DataFrame,
     labels: DataFrame,
     k: int,
-    user_col: str = USER,
+    user_col: Key = USER,
     item_col: str = "item",
     pos_col: str = "pos",
 ) -> DataFrame:
@@ -196,55 +203,61 @@ def shared_list_metrics(
     list; the join is left to AQE, which broadcasts it by its measured size.
     Every user with a label is evaluated.
     """
-    distinct_labels = labels.where(F.col(user_col).isNotNull()).select(user_col, item_col).distinct()
+    user = _cols(user_col)
+    distinct_labels = labels.dropna(subset=user).select(*user, item_col).distinct()
     hits = distinct_labels.join(ranked.select(pos_col, item_col), on=item_col, how="inner")
     users = label_counts(distinct_labels, user_col, item_col, distinct=True)
     return per_user_metrics(
-        runs_from_hits(hits.select(user_col, pos_col), user_col, pos_col), users, k, user_col, unit_runs=True
+        runs_from_hits(hits.select(*user, pos_col), user_col, pos_col), users, k, user_col, unit_runs=True
     )
 
 
 # -------------------------------------------------- ordered-list positions
 
 
-def _local_exclusive_sums(group_col: str, sum_cols: list[str]):
+def _local_exclusive_sums(groups: list[str], sum_cols: list[str]):
     """Exclusive running sums per group over a sorted partition (pandas)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry_group = None
-        carry = {c: 0 for c in sum_cols}
+        carry_key, carry = None, {}
         for pdf in batches:
             if pdf.empty:
                 yield pdf.assign(**{f"{c}_local": pd.Series(dtype="int64") for c in sum_cols})
                 continue
-            groups = pdf[group_col]
-            same_as_carry = (groups == carry_group).to_numpy() if carry_group is not None else None
+            keys = [pdf[g].to_numpy() for g in groups]
+            begins = np.zeros(len(pdf), dtype=bool)
+            for key in keys:
+                begins[1:] |= key[1:] != key[:-1]
+            part = np.cumsum(begins)
+            starts = np.concatenate([[0], np.flatnonzero(begins)])
+            carried = tuple(key[0] for key in keys) == carry_key
             out = {}
             for c in sum_cols:
-                values = pdf[c].astype("int64")
-                local = values.groupby(groups, sort=False).cumsum() - values
-                if same_as_carry is not None:
-                    local = local + same_as_carry * carry[c]
-                out[f"{c}_local"] = local.astype("int64")
-            last = groups.iloc[-1]
-            tail = (groups == last).to_numpy()
-            for c in sum_cols:
-                base = carry[c] if last == carry_group else 0
-                carry[c] = base + int(pdf[c].to_numpy()[tail].sum())
-            carry_group = last
+                values = pdf[c].to_numpy().astype("int64")
+                before = np.cumsum(values) - values
+                local = before - before[starts][part]
+                if carried:
+                    local[part == 0] += carry[c]
+                carry[c] = int(local[-1] + values[-1])
+                out[f"{c}_local"] = local
+            carry_key = tuple(key[-1] for key in keys)
             yield pdf.assign(**out)
 
     return run
 
 
-def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str], sum_cols: list[str]) -> DataFrame:
+def exclusive_prefix_sums(
+    df: DataFrame, group_cols: str | list[str], order_cols: list[str], sum_cols: list[str]
+) -> DataFrame:
     """Add ``<c>_before``: the sum of ``c`` over the group's earlier rows.
 
-    Rows are ordered by ``order_cols`` inside each group; the order must be
-    total within a group (collapse identical rows first). A distributed
-    prefix sum that tolerates any group size:
+    A group is one value of a column or of several; rows with a null in one
+    of them belong to no group and are dropped. Rows are ordered by
+    ``order_cols`` inside each group; the order must be total within a group
+    (collapse identical rows first). A distributed prefix sum that tolerates
+    any group size:
 
-    1. range-partition on ``(group, order...)`` and sort each range: a hot
+    1. range-partition on ``(groups..., order...)`` and sort each range: a hot
        group is cut into contiguous ranges over many tasks. The result is
        checkpointed into the shared checkpoint folder, which fixes the range
        bounds and task ids for both uses below (and survives executor loss);
@@ -256,10 +269,12 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
        number of partitions) and added to the rows of the first groups. The
        rows themselves are not shuffled again.
     """
-    keys = [group_col, *order_cols]
+    groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    keys = [*groups, *order_cols]
+    group = F.struct(*groups)
     ensure_checkpoint_dir(df.sparkSession)
     ranged = (
-        df.where(F.col(group_col).isNotNull())
+        df.dropna(subset=groups)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .checkpoint(eager=True)
@@ -268,22 +283,22 @@ def exclusive_prefix_sums(df: DataFrame, group_col: str, order_cols: list[str],
     local_schema = T.StructType(
         ranged.schema.fields + [T.StructField(f"{c}_local", T.LongType(), False) for c in sum_cols]
     )
-    local = ranged.mapInPandas(_local_exclusive_sums(group_col, sum_cols), schema=local_schema)
-    ends = ranged.groupBy("_part").agg(F.min(group_col).alias("_first"), F.max(group_col).alias("_last"))
+    local = ranged.mapInPandas(_local_exclusive_sums(groups, sum_cols), schema=local_schema)
+    ends = ranged.groupBy("_part").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
     totals = (
         ranged.join(F.broadcast(ends), "_part")
-        .where((F.col(group_col) == F.col("_first")) | (F.col(group_col) == F.col("_last")))
-        .groupBy("_part", group_col, "_first")
+        .where((group == F.col("_first")) | (group == F.col("_last")))
+        .groupBy("_part", *groups, "_first")
         .agg(*[F.sum(c).alias(f"{c}_total") for c in sum_cols])
     )
-    w = Window.partitionBy(group_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_part",
         "_first",
-        (F.col(group_col) == F.col("_first")).alias("_carried"),
+        (group == F.col("_first")).alias("_carried"),
         *[F.coalesce(F.sum(f"{c}_total").over(w), F.lit(0)).alias(f"{c}_offset") for c in sum_cols],
     ).where("_carried")
-    first = F.col(group_col) == F.col("_first")
+    first = group == F.col("_first")
     return local.join(F.broadcast(offsets), on="_part", how="left").select(
         *df.columns,
         *[
@@ -298,7 +313,7 @@ def ordered_list_metrics(
     relevant: DataFrame,
     k: int,
     order_cols: list[str],
-    user_col: str = USER,
+    user_col: Key = USER,
     item_col: str = "item",
 ) -> DataFrame:
     """Per-user metrics when each user's prediction list is its own event log.
@@ -311,10 +326,11 @@ def ordered_list_metrics(
     partial aggregate); positions come from ``exclusive_prefix_sums``, so no
     user's log is ever gathered into one task.
     """
-    keys = [user_col, *order_cols]
+    user = _cols(user_col)
+    keys = [*user, *order_cols]
     if item_col not in order_cols:
         keys.append(item_col)
-    collapsed = events.where(F.col(user_col).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("mult"))
+    collapsed = events.dropna(subset=user).groupBy(*keys).agg(F.count(F.lit(1)).alias("mult"))
     rel = relevant.select(item_col).distinct().withColumn("_hit", F.lit(1))
     n_relevant = rel.agg(F.count(F.lit(1))).scalar()
     flagged = collapsed.join(rel, on=item_col, how="left").select(
@@ -322,14 +338,12 @@ def ordered_list_metrics(
         F.col("mult"),
         (F.col("mult") * F.coalesce(F.col("_hit"), F.lit(0))).cast("bigint").alias("hit_mult"),
     )
-    positioned = exclusive_prefix_sums(flagged, user_col, [c for c in keys if c != user_col], ["mult", "hit_mult"])
+    positioned = exclusive_prefix_sums(flagged, user, keys[len(user) :], ["mult", "hit_mult"])
     runs = positioned.where(F.col("hit_mult") > 0).select(
-        F.col(user_col),
+        *user,
         F.col("mult_before").alias("start"),
         F.col("mult").cast("bigint").alias("length"),
         F.col("hit_mult_before").alias("before"),
     )
-    users = (
-        collapsed.select(user_col).distinct().select(user_col, n_relevant.cast("bigint").alias("n_labels"))
-    )
+    users = collapsed.select(*user).distinct().select(*user, n_relevant.cast("bigint").alias("n_labels"))
     return per_user_metrics(runs, users, k, user_col)
