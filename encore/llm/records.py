@@ -14,7 +14,7 @@ Format, little-endian throughout:
 The mask rotates a checksum right by 15 bits and adds a constant, so that a
 checksum of data that holds checksums stays useful.
 
-Documents are range-partitioned by id and each partition writes one record
+Documents are range-partitioned by id, or by an order the caller names, and each partition writes one record
 file and one index file into a folder that all executors share, through
 pyarrow's file systems (local mounts, HDFS, object stores). A task writes
 under a name of its own attempt and renames at the end; its content depends on
@@ -32,10 +32,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm.common import bounded_batches, materialize
@@ -48,6 +49,7 @@ _HEAD, _PAYLOAD = "<QI", "<BqB"
 _HEAD_BYTES, _PAYLOAD_BYTES = struct.calcsize(_HEAD), struct.calcsize(_PAYLOAD)
 _OVERHEAD = _HEAD_BYTES + 4  # bytes of a record beside its payload
 _WORDS_KEPT = 1_000_000  # entries of a worker's word memo before it starts anew
+_WORDS_A_TEXT = 256  # unseen words that are handed to the library as one text
 
 
 class RecordError(ValueError):
@@ -97,7 +99,10 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import json
+        import os
 
+        # a task has one core: the library's own threads would only compete with other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -107,6 +112,9 @@ class WordEncoder:
         top = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
         self.width = 2 if top < 1 << 16 else 4
         self.type = f"<u{self.width}"
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        self.ends_word = np.zeros(top + 1, dtype=bool)  # tokens that end a pre-token
+        self.ends_word[[i for t, i in spec["model"]["vocab"].items() if suffix and t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -116,30 +124,66 @@ class WordEncoder:
     def _encode_all(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pre_tokens(self, names: list[str]) -> list[bytes]:
+        """Ids of strings that are one pre-token each: many in one text, cut behind each word's last token."""
+        out: list[bytes] = []
+        for group, ids in self._in_groups(names, lambda texts: self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(ids.ids, dtype=self.type)
+            stops = (np.flatnonzero(self.ends_word[ids]) + 1) * self.width
+            if len(stops) != len(group):  # not one pre-token each after all
+                out += self._encode_all(group)
+                continue
+            raw, begin = ids.tobytes(), 0
+            for stop in stops.tolist():
+                out.append(raw[begin:stop])
+                begin = stop
+        return out
+
+    def _whole_words(self, names: list[str]) -> list[bytes]:
+        """Ids of any words: many in one text, cut by where in it a token begins."""
+        out: list[bytes] = []
+        for group, found in self._in_groups(names, lambda texts: self.library.encode_batch(texts, add_special_tokens=False)):
+            begins = np.cumsum([0, *(len(w) + 1 for w in group)])
+            at = np.array([o[0] for o in found.offsets], dtype=np.int64)
+            cuts = (np.searchsorted(at, begins) * self.width).tolist()
+            raw = self._bytes(found.ids)
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
+    def _in_groups(self, names: list[str], encode) -> Iterator[tuple[list[str], Any]]:
+        groups = [names[i : i + _WORDS_A_TEXT] for i in range(0, len(names), _WORDS_A_TEXT)]
+        return zip(groups, encode([" ".join(g) for g in groups]))
+
     def _learn(self, fresh: list[str]) -> None:
         split = [_PLAIN.fullmatch(w) for w in fresh]
         parts = {p for m in split if m for p in (m[1].lower(), m[2]) if p not in self.parts}
         if len(self.parts) + len(parts) > _WORDS_KEPT:
             self.parts.clear()
             parts = {p for m in split if m for p in (m[1].lower(), m[2])}
-        names = list(parts)
-        self.parts.update(zip(names, self._encode_all(names)))
+        self.parts[""] = b""
+        names = [p for p in parts if p]
+        self.parts.update(zip(names, self._pre_tokens(names)))
         others = [w for w, m in zip(fresh, split) if not m]
-        self.known.update(zip(others, self._encode_all(others)))
+        self.known.update(zip(others, self._whole_words(others)))
         self.known.update((w, self.parts[m[1].lower()] + self.parts[m[2]]) for w, m in zip(fresh, split) if m)
 
     def encode(self, text: str) -> bytes:
-        if any(t in text for t in self.whole):
-            return self._encode_all([text])[0]
-        found = text.split()
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the unseen words of all of them are learnt together."""
+        whole = {i for i, text in enumerate(texts) if any(t in text for t in self.whole)}
+        split = [[] if i in whole else text.split() for i, text in enumerate(texts)]
         known = self.known
-        missing = {w for w in found if w not in known}
-        if missing:
-            if len(known) + len(missing) > _WORDS_KEPT:
-                known.clear()
-                missing = set(found)
-            self._learn(list(missing))
-        return b"".join([known[w] for w in found])
+        missing = set().union(*split).difference(known)
+        if len(known) + len(missing) > _WORDS_KEPT:
+            known.clear()
+            missing = set().union(*split)
+        self._learn(list(missing))
+        out = [b"".join([known[w] for w in found]) for found in split]
+        for i, ids in zip(sorted(whole), self._encode_all([texts[i] for i in sorted(whole)])):
+            out[i] = ids
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of this worker process, kept from task to task
@@ -185,8 +229,9 @@ def _save(batches: Iterator[pd.DataFrame], folder: str, tokenizer: str, end_id:
                 streams = [system.open_output_stream(d, buffer_size=1 << 20) for d in drafts]
                 for stream, magic in zip(streams, (RECORD_MAGIC, INDEX_MAGIC)):
                     stream.write(magic)
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = (encoder.encode(text) if isinstance(text, str) else b"") + end
+            texts = [text if isinstance(text, str) else "" for text in batch["text"]]
+            for doc_id, ids in zip(batch["doc_id"], encoder.encode_many(texts)):
+                ids += end
                 payload = pack(None if pd.isna(doc_id) else int(doc_id), ids, encoder.width)
                 streams[0].write(frame(payload))
                 streams[1].write(struct.pack("<QQ", at, len(payload)))
@@ -207,10 +252,23 @@ def _save(batches: Iterator[pd.DataFrame], folder: str, tokenizer: str, end_id:
         )
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """Encode ``docs(doc_id, text)`` into record files in ``folder``; returns the written manifest."""
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+def write(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, order: list[Column] | None = None
+) -> DataFrame:
+    """Encode ``docs(doc_id, text)`` into record files in ``folder``; returns the written manifest.
+
+    ``order``: expressions over ``docs`` that put its rows in a total, rising order (default:
+    by id, equal ids by text); the files follow it.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *[c.alias(f"__{i}") for i, c in enumerate(order or [])]
+    )
+    if order:
+        keys = [f"__{i}" for i in range(len(order))]
+        ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
+    else:
+        ordered = rows.repartitionByRange("doc_id")
+        ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
     return materialize(
         ordered.mapInPandas(lambda batches: _save(batches, folder, tokenizer, end_id), MANIFEST), "manifest"
     )
@@ -271,9 +329,17 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
     return placed.repartition(files).mapInPandas(lambda batches: _load(batches, folder), READ)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def stored_order() -> list[Column]:
+    """The order of the rows of a table as it was written: by task, file and row in the file."""
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
+
+
+def encode_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = END_ID, order: list[Column] | None = None
+) -> DataFrame:
     """Write the record files into a fresh folder of the shared one and read them back."""
     spark = docs.sparkSession
     bounded_batches(spark)
     folder = scratch_path(spark, "records")
-    return read(write(docs, folder, tokenizer, end_id), folder)
+    return read(write(docs, folder, tokenizer, end_id, order), folder)

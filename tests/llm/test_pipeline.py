@@ -70,7 +70,16 @@ def test_stages_equal_brute_force(spark, tmp_path):
     before, after = rows[4]
     library, start = Tokenizer.from_file(tokenizer("word_bpe_49k.json")), 0
     assert len(after) == len(before)
-    for (i, text, *_), r in zip(sorted(before, key=lambda r: r[:2]), sorted(after, key=lambda r: r[1])):
+    # the files follow the training sequence: the rows of the mix in the order they were written
+    import glob
+
+    import pyarrow.parquet as pq
+
+    sequence = [r for f in sorted(glob.glob(f"{tmp_path}/source_mix/part-*")) for r in pq.read_table(f).to_pylist()]
+    positions = {r["doc"]["doc_id"]: sorted(r["positions"]) for r in placed}
+    taken = [positions[r["doc_id"]].pop(0) for r in sequence]
+    assert taken == sorted(taken) and len(taken) == len(before)
+    for (i, text), r in zip([(r["doc_id"], r["text"]) for r in sequence], sorted(after, key=lambda r: r[1])):
         ids = library.encode(text, add_special_tokens=False).ids + [records.END_ID]
         assert r[:4] == (i, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         start += len(ids)

@@ -50,6 +50,24 @@ def test_words_are_encoded_as_whole_texts():
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_unseen_words_of_many_texts_are_learnt_together(monkeypatch):
+    monkeypatch.setattr(records, "_WORDS_A_TEXT", 7)
+    monkeypatch.setattr(records, "_WORDS_KEPT", 60)
+    encoder, library = records.WordEncoder(PATH), Tokenizer.from_file(PATH)
+    texts = [r["text"] or "" for r in table("documents")[:40]] + ["", "İx ½ 1\u0301 don't!", "a <|endoftext|> b", "x\x1cy"]
+    for at in range(0, len(texts), 9):
+        for text, ids in zip(texts[at : at + 9], encoder.encode_many(texts[at : at + 9])):
+            assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_another_order_of_the_files(spark):
+    from pyspark.sql import functions as F
+
+    given = [(i, f"text number {i}") for i in range(40)]
+    found = records.encode_documents(docs(spark, given), PATH, order=[-F.col("doc_id")]).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == list(range(39, -1, -1))
+
+
 def test_reads_in_any_order_by_the_index(spark):
     folder = scratch_path(spark, "records-test")
     given = [(i, f"text number {i} " * (i % 5)) for i in range(50)]
