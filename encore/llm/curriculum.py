@@ -21,7 +21,7 @@ row for each source and bucket gives each bucket its offset in the stream.
 Defined results: a null text has size 0; a null source is a source of its own,
 last in the order; documents of size 0 are taken like others and give 0 words.
 With no words at all every target is 0 and nothing is taken. Rows with a null
-id are ordered by their text. Repeated rows are separate documents. An empty
+id are ordered by their text, rows of one id and size by their text's hash. Repeated rows are separate documents. An empty
 table gives an empty result.
 """
 
@@ -126,7 +126,8 @@ def place(docs: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS, c
 
     Returns ``doc`` (a struct of ``columns``, default all), ``size,
     source_size, target, copies, taken, positions`` (a training position for
-    each copy) and ``ticket`` (the hash that orders a source's stream).
+    each copy), ``ticket`` (the hash that orders a source's stream) and
+    ``text_hash`` (which orders rows of one id and size).
     ``weigh`` gets a frame with ``source`` and ``source_size`` and adds
     ``weight`` and ``schedule``.
     """
@@ -137,6 +138,7 @@ def place(docs: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS, c
         F.col("source").alias("source"),
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("key"),
         ticket.alias("ticket"),
+        F.xxhash64("text").alias("text_hash"),
         F.substring(ticket, 1, 3).alias("bucket"),
         size_of(F.col("text")).alias("size"),
     )
@@ -153,7 +155,7 @@ def place(docs: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS, c
         "offsets",
     )
     within = (
-        Window.partitionBy("key", "bucket").orderBy("ticket", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("key", "bucket").orderBy("ticket", "id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     )
     begins = F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0))
     rounds = F.ceil(F.try_divide(F.col("target") - F.col("middle"), F.col("source_size")))
@@ -178,11 +180,12 @@ def place(docs: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS, c
             (F.col("copies") * F.col("size")).alias("taken"),
             F.slice(F.array(*(at(e) for e in range(max_epochs))), F.lit(1), F.col("copies")).alias("positions"),
             "ticket",
+            "text_hash",
         )
     )
 
 
 def mix(docs: DataFrame, weigh=cyclic_weights, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The training sequence: rows of ``docs``, repeated as the mix takes them, range-sorted by position."""
-    taken = place(docs, weigh, max_epochs).select("doc", F.explode("positions").alias("position"), "ticket")
-    return taken.orderBy("position", "ticket").select("doc.*")
+    taken = place(docs, weigh, max_epochs).select("doc", F.explode("positions").alias("position"), "ticket", "text_hash")
+    return taken.orderBy("position", "ticket", "text_hash").select("doc.*")

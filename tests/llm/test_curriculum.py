@@ -60,6 +60,12 @@ def test_targets_and_words_taken(spark):
     assert sorted(map(repr, found)) == sorted(map(repr, again))
 
 
+def test_rows_of_one_id_and_size_have_an_order(spark):
+    given = [(7, f"text number {i}", "en", "s") for i in range(30)] + [(i, "a b c d " * 40, "en", "t") for i in range(100, 104)]
+    first = [tuple(r) for r in curriculum.mix(docs(spark, given)).collect()]
+    assert first == [tuple(r) for r in curriculum.mix(docs(spark, given[::-1]).repartition(7)).collect()]
+
+
 def test_streams_equal_brute_force(spark):
     given = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in table("documents")]
     found = {r["doc"]["doc_id"]: r for r in curriculum.place(docs(spark, given), columns=["doc_id"]).collect()}
