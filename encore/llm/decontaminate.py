@@ -8,12 +8,18 @@ are windows of the item's size at every word of every text.
   word under a pointer and moves on by a random bit of (step, word), so equal
   stretches fall into step again after an edit and edit distance becomes
   Hamming distance.
-* LSH: each repetition has its own walk and samples a few of its steps; the
+* LSH: each repetition has its own walk and samples two of its steps; the
   words written there are the key. Items and windows of their size with equal
-  keys are candidates. The number of repetitions comes from the items
-  themselves: they are edited at random up to the full distance, the chance
-  that one repetition catches such a copy is measured, and enough repetitions
-  are taken to reach ``target_recall`` (an exact copy is caught by each).
+  keys are candidates. The two steps lie close together, because a walk that
+  is in step with the item's at the one is likely to be so at the other; every
+  second repetition samples the first forty steps, the others the whole walk,
+  as edits may stand anywhere. Each item size has a number of repetitions of
+  its own: copies with the full number of edits (deletions, insertions,
+  substitutions, a mixture, and a mixture crowded into the first third) are
+  drawn, and repetitions are added until ``target_recall`` of every kind is
+  caught (an exact copy is caught by each). A size for which
+  ``MAX_REPETITIONS`` do not reach it is searched without keys: every window
+  that passes the pair test below is verified.
 * Verification: the least number of word edits between the item and any
   stretch of the text around the window, exactly.
 
@@ -27,8 +33,8 @@ words of items, about 100 bytes a word); a benchmark of more than a block
 takes a pass over the documents for each block. An item is never split.
 
 Words: lower case, runs of digits, letters and everything beyond ASCII, so
-punctuation, case and line breaks do not hide a copy. Items of fewer than
-``min_words`` (five) words are too common as phrases and are not searched.
+punctuation, case and line breaks do not hide a copy. Items of fewer than five
+words allow no edit: their windows are compared whole.
 
 Defined results: null and empty texts and items never match. Repeated rows
 each give their rows. Extra columns are ignored by ``leaks`` and kept by
@@ -37,13 +43,13 @@ each give their rows. Extra columns are ignored by ``leaks`` and kept by
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -54,11 +60,12 @@ from encore.llm.common import bounded_batches
 
 SIMILARITY = 0.8
 TARGET_RECALL = 0.98
-SAMPLED_STEPS = 2
-MAX_REPETITIONS = 64
+MAX_REPETITIONS = 96  # beyond it a size is searched without keys
 BLOCK_WORDS = 500_000
-MIN_WORDS = 5
-_CALIBRATION = 400  # edited copies on which the repetitions are measured
+_EARLY_STEPS, _STEP_GAP = 40, 4
+_AREA = 8  # item sizes that the windows verified at once may span
+_CALIBRATION = 200  # edited copies of each kind on which the repetitions are measured
+_KINDS = ("delete", "insert", "substitute", "mixed", "crowded")
 _WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 _MIX = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)))
 
@@ -106,6 +113,57 @@ def distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[best]), best
 
 
+def sampled_steps(size: int, repetition: int, seed: int) -> list[int]:
+    """The two sampled steps. The walk passes a window's end after about twice its size."""
+    rng = random.Random(f"{seed}:{repetition}:{size}")
+    reach = 2 * size
+    first = rng.randrange(min(reach, _EARLY_STEPS) if repetition % 2 == 0 else reach)
+    return sorted({first, min(first + 1 + rng.randrange(_STEP_GAP), reach - 1)})
+
+
+def edited_copy(words: list[int], edits: int, kind: str, rng: random.Random) -> list[int]:
+    """A copy with ``edits`` random word edits; new words are 0, a word of no item."""
+    out = list(words)
+    for _ in range(edits):
+        at = rng.randrange(max(1, len(out) // 3) if kind == "crowded" else len(out))
+        what = kind if kind in _KINDS[:3] else rng.choice(_KINDS[:3])
+        out[at : at + (what != "insert")] = [] if what == "delete" else [0]
+    return out
+
+
+def _rung(size: int) -> int:
+    """The next size of a ladder with steps of a tenth: sizes between share a measurement."""
+    rung = 5
+    while rung < size:
+        rung = max(rung + 1, rung * 11 // 10)
+    return rung
+
+
+@functools.lru_cache(maxsize=None)
+def _repetitions_at(size: int, edits: int, target_recall: float, seed: int) -> int | None:
+    """Repetitions that catch ``target_recall`` of the edited copies of every kind; ``None``: too many."""
+    rng = random.Random(f"{seed}:{size}")
+    words = rng.sample(range(1, 100 * size), size)
+    copies = [edited_copy(words, edits, kind, rng) for kind in _KINDS for _ in range(_CALIBRATION)]
+    rows = np.array([(c + [0] * size)[:size] for c in copies], dtype=np.int64).ravel()
+    starts, caught = np.arange(len(copies)) * size, np.zeros(len(copies), dtype=bool)
+    for repetition in range(MAX_REPETITIONS):
+        steps = sampled_steps(size, repetition, seed)
+        own = embed(np.array(words, dtype=np.int64), np.array([0]), size, steps, seed + repetition)
+        caught |= (embed(rows, starts, size, steps, seed + repetition) == own).all(axis=1)
+        if caught.reshape(len(_KINDS), -1).mean(axis=1).min() >= target_recall:
+            return repetition + 1
+    return None
+
+
+def repetitions(size: int, edits: int, target_recall: float, seed: int) -> int | None:
+    """Repetitions for items of ``size`` words; one for exact copies, ``None`` for a search without keys."""
+    if edits == 0:
+        return 1
+    rung = _rung(size)
+    return _repetitions_at(rung, max(edits, edits * rung // size), target_recall, seed)
+
+
 Leak = tuple[int, int, int, int, float]
 
 
@@ -117,11 +175,11 @@ class LeakIndex:
     items: list[tuple[int, np.ndarray]]  # (item id, word numbers)
     vocabulary: dict[str, int]  # from 1; 0 is any other word
     seed: int = 11
-    repetitions: int = 0
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     usable: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # times an item has it, at most
     by_size: dict[int, np.ndarray] = field(default_factory=dict)  # places in ``pairs``, for each item size
     tables: dict[int, list[tuple[int, list[int], np.ndarray, list[list[int]]]]] = field(default_factory=dict)
+    whole: dict[int, list[int]] = field(default_factory=dict)  # sizes that are searched without keys: their items
 
     @classmethod
     def build(
@@ -138,7 +196,6 @@ class LeakIndex:
             own, times = np.unique(a[:-1] * wide + a[1:], return_counts=True)
             at = np.searchsorted(index.pairs, own)
             index.usable[at] = np.maximum(index.usable[at], times)
-        index.repetitions = index._needed(target_recall)
         by_size = defaultdict(list)
         for number, (_, words) in enumerate(numbered):
             by_size[len(words)].append(number)
@@ -148,10 +205,14 @@ class LeakIndex:
             index.by_size[size] = np.unique(np.searchsorted(index.pairs, inner))
             starts = np.arange(len(numbers)) * size
             index.tables[size] = []
-            for repetition in range(index.repetitions):
-                steps = index.steps(size, repetition)
+            needed = repetitions(size, index.edits(size), target_recall, index.seed)
+            if needed is None:
+                index.whole[size] = numbers
+            for repetition in range(needed or 0):
+                # an item without edits is its own key
+                steps = sampled_steps(size, repetition, index.seed) if index.edits(size) else []
                 table = defaultdict(list)
-                codes = index.codes(embed(joined, starts, size, steps, index.seed + repetition))
+                codes = index.window_codes(joined, starts, size, steps, index.seed + repetition)
                 for number, code in zip(numbers, codes.tolist()):
                     table[code].append(number)
                 keys = np.array(sorted(table), dtype=np.int64)
@@ -170,31 +231,12 @@ class LeakIndex:
     def edits(self, size: int) -> int:
         return int(math.floor((1 - self.similarity) * size + 1e-9))
 
-    def steps(self, size: int, repetition: int) -> list[int]:
-        """The sampled steps. The walk passes a window's end after about twice its size."""
-        rng = random.Random(f"{self.seed}:{repetition}:{size}")
-        return sorted(rng.sample(range(2 * size), SAMPLED_STEPS))
-
-    def _needed(self, target_recall: float) -> int:
-        """Repetitions that catch an item edited up to the full distance with chance ``target_recall``."""
-        rng = random.Random(self.seed)
-        caught = tried = 0
-        for _ in range(_CALIBRATION if self.items else 0):
-            words = rng.choice(self.items)[1].tolist()
-            size, edited = len(words), list(words)
-            for _ in range(self.edits(size)):
-                at = rng.randrange(len(edited))
-                kind = rng.randrange(3)
-                edited[at : at + (kind != 2)] = [] if kind == 0 else [0]
-            edited = (edited + [0] * size)[:size]
-            repetition = rng.randrange(MAX_REPETITIONS)
-            steps = self.steps(size, repetition)
-            both = np.array(words + edited, dtype=np.int64)
-            keys = embed(both, np.array([0, size]), size, steps, self.seed + repetition)
-            caught += bool((keys[0] == keys[1]).all())
-            tried += 1
-        chance = min(max(caught, 1) / max(tried, 1), 1 - 1e-9)
-        return max(1, min(MAX_REPETITIONS, math.ceil(math.log(1 - target_recall) / math.log(1 - chance))))
+    def window_codes(self, tokens: np.ndarray, starts: np.ndarray, size: int, steps: list[int], seed: int) -> np.ndarray:
+        """Keys of windows: the words at the sampled steps, or without steps all words of the window."""
+        if steps:
+            return self.codes(embed(tokens, starts, size, steps, seed))
+        inside = starts[:, None] + np.arange(size)
+        return self.codes(np.where(inside < len(tokens), tokens[np.minimum(inside, len(tokens) - 1)], 0))
 
     def find(self, text: str | None) -> list[Leak]:
         return self.find_all([text])[0]
@@ -210,7 +252,7 @@ class LeakIndex:
         edges = np.cumsum([0, *(len(n) + 1 for n in numbered)])
         tokens = np.array([n for words in numbered for n in (*words, 0)], dtype=np.int64)
         best: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        for number, start in self._candidates(tokens):
+        for number, start, stop in self._areas(tokens, edges):
             item = self.items[number][1]
             size, limit = len(item), self.edits(len(item))
             doc = int(np.searchsorted(edges, start, side="right")) - 1
@@ -218,7 +260,7 @@ class LeakIndex:
                 continue  # an exact copy, and the first
             first, last = int(edges[doc]), int(edges[doc + 1]) - 1
             around = max(first, start - limit)
-            stretch = tokens[around : min(last, start + size + limit)]
+            stretch = tokens[around : min(last, stop + size + limit)]
             # all but ``limit`` words of the item must be in the stretch
             if sum((Counter(item.tolist()) & Counter(stretch.tolist())).values()) < size - limit:
                 continue
@@ -237,6 +279,21 @@ class LeakIndex:
             for leaks in best
         ]
 
+    def _areas(self, tokens: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(item number, first window, last window)``: candidates of one item and text that overlap, verified at once."""
+        area: tuple[int, int, int] | None = None
+        text = -1
+        for number, start in self._candidates(tokens):
+            size, doc = len(self.items[number][1]), int(np.searchsorted(edges, start, side="right"))
+            if area and area[0] == number and doc == text and start - area[2] <= size and start - area[1] <= _AREA * size:
+                area = (number, area[1], start)
+                continue
+            if area:
+                yield area
+            area, text = (number, start, start), doc
+        if area:
+            yield area
+
     def _starts(self, tokens: np.ndarray) -> dict[int, np.ndarray]:
         """For each item size the windows with enough word pairs of the items.
 
@@ -245,6 +302,8 @@ class LeakIndex:
         it lies outside the window.
         """
         pair = tokens[:-1] * (len(self.vocabulary) + 1) + tokens[1:]
+        if not len(self.pairs):
+            return {1: np.flatnonzero(tokens)} if 1 in self.tables else {}
         both = np.flatnonzero((tokens[:-1] > 0) & (tokens[1:] > 0))
         place = np.minimum(np.searchsorted(self.pairs, pair[both]), len(self.pairs) - 1)
         known = self.pairs[place] == pair[both]
@@ -265,14 +324,16 @@ class LeakIndex:
         before[runs + 1] = 1
         before = np.cumsum(before)
         most = int(self.usable.max(initial=1))  # a window that begins inside a run misses its counted pairs
-        need = {size: size - 1 - 2 * self.edits(size) for size in self.tables}
+        need = {size: size - 1 - 2 * self.edits(size) for size in self.tables if size > 1}
+        found = {1: np.flatnonzero(tokens)} if 1 in self.tables else {}
+        if not need:
+            return found
         pairs_in = lambda at, size: before[np.minimum(at + size - 1, len(tokens))] - before[at]
         every = np.arange(len(tokens))
         every = every[pairs_in(every, max(need)) >= min(need.values()) - most]
         number = np.full(len(tokens), len(self.pairs), dtype=np.int64)
         number[both] = place
         own = np.zeros(len(self.pairs) + 1, dtype=bool)
-        found = {}
         for size, least in need.items():
             starts = every[pairs_in(every, size) >= least - most]
             own[:] = False
@@ -287,11 +348,13 @@ class LeakIndex:
     def _candidates(self, tokens: np.ndarray) -> list[tuple[int, int]]:
         """``(item number, first word)`` of windows that share a key with an item of their size."""
         found = set()
-        if len(tokens) < 2 or not self.items:
+        if not self.items:
             return []
         for size, starts in self._starts(tokens).items():
+            for number in self.whole.get(size, ()):
+                found.update((number, int(start)) for start in starts)
             for seed, steps, keys, numbers in self.tables[size] if len(starts) else ():
-                codes = self.codes(embed(tokens, starts, size, steps, seed))
+                codes = self.window_codes(tokens, starts, size, steps, seed)
                 place = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
                 for at in np.flatnonzero(keys[place] == codes).tolist():
                     found.update((number, int(starts[at])) for number in numbers[place[at]])
@@ -303,14 +366,13 @@ def indexes(
     similarity: float = SIMILARITY,
     target_recall: float = TARGET_RECALL,
     block_words: int = BLOCK_WORDS,
-    min_words: int = MIN_WORDS,
 ) -> Iterator[LeakIndex]:
     """The benchmark as indexes of at most ``block_words`` words each (an item alone may have more)."""
     block: list[tuple[int, list[str]]] = []
     held = 0
     for row in benchmark.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
         words = words_of(row["text"])
-        if row["item_id"] is None or len(words) < min_words:
+        if row["item_id"] is None or not words:
             continue
         if block and held + len(words) > block_words:
             yield LeakIndex.build(block, similarity, target_recall)
@@ -355,7 +417,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     if not parts:
         nothing = F.from_json(F.lit(None).cast("string"), LEAK_ARRAY)
         return docs.select("doc_id", F.inline(nothing))
-    return reduce(DataFrame.unionByName, parts)
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -97,6 +97,48 @@ def test_edited_copies_are_found_and_clean_texts_are_not(items):
             assert levenshtein(decontaminate.words_of(dict(items)[item_id]), stretch) == edits
 
 
+@pytest.mark.parametrize("size", [5, 12, 50, 120, 200])
+def test_recall_of_every_size_and_kind_of_edit(size):
+    """Copies with the full number of edits inside other words, other than those the repetitions are measured on."""
+    rng = random.Random(size)
+    names = [f"w{chr(97 + i % 26)}{i}" for i in range(4000)]
+    items = [(i, [rng.choice(names) for _ in range(size)]) for i in range(20)]
+    index = decontaminate.LeakIndex.build(items)
+    for kind in ("delete", "insert", "substitute", "mixed", "crowded"):
+        texts, wanted = [], []
+        for _ in range(60):
+            item_id, words = rng.choice(items)
+            copy = decontaminate.edited_copy(words, index.edits(size), kind, rng)
+            filler = lambda: rng.choice(names) if rng.random() < 0.5 else "other"
+            text = [filler() for _ in range(40)] + [w or filler() for w in copy] + [filler() for _ in range(40)]
+            texts.append(" ".join(text))
+            wanted.append(item_id)
+        found = index.find_all(texts)
+        assert sum(any(leak[0] == i for leak in leaks) for leaks, i in zip(found, wanted)) >= 0.95 * len(wanted), kind
+
+
+def test_sizes_without_keys_are_searched_exactly(items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_REPETITIONS", 0)
+    decontaminate._repetitions_at.cache_clear()
+    index = decontaminate.LeakIndex.build([(i, decontaminate.words_of(t)) for i, t in items[:6]])
+    assert index.whole and not any(index.tables.values())
+    rng, texts = random.Random(4), []
+    for _, text in items[:6]:
+        words = decontaminate.words_of(text)
+        texts.append(" ".join(["x", *(w or "new" for w in decontaminate.edited_copy(words, index.edits(len(words)), "mixed", rng)), "y"]))
+    assert all(i in {leak[0] for leak in leaks} for (i, _), leaks in zip(items, index.find_all(texts)))
+    decontaminate._repetitions_at.cache_clear()
+
+
+def test_short_items_are_found_as_exact_copies():
+    index = decontaminate.LeakIndex.build([(1, ["lone"]), (2, ["two", "words"]), (3, ["a", "b", "c", "d"]), (4, ["two", "two"])])
+    found = index.find_all(["so lone, a b c d!", "two words two", "a b d", "two two words", None])
+    assert [[leak[:4] for leak in leaks] for leaks in found] == [
+        [(1, 1, 1, 0), (3, 2, 4, 0)], [(2, 0, 2, 0)], [], [(2, 1, 2, 0), (4, 0, 2, 0)], []
+    ]
+    assert decontaminate.LeakIndex.build([(1, ["lone"])]).find("lone") == [(1, 0, 1, 0, 1.0)]
+
+
 def test_alone_in_a_batch_or_not_a_text_gives_the_same(items):
     index = decontaminate.LeakIndex.build([(i, decontaminate.words_of(t)) for i, t in items])
     texts = [items[3][1], None, "", "x", items[5][1] + " " + items[5][1], "the the " * 500]
@@ -114,7 +156,7 @@ def test_blocks_of_the_benchmark_give_the_same(spark, items):
 def test_odd_rows(spark, items):
     odd = benchmark(spark, [*items[:3], (None, "an item without an id but words"), (99, None), (98, ""), (97, "one two"), items[0]], True)
     frame = docs(spark, [*ODD, (20, items[0][1])], extra=True)
-    assert {tuple(r)[:2] for r in decontaminate.leaks(frame, odd).collect()} == {(20, items[0][0])}
+    assert {tuple(r)[:2] for r in decontaminate.leaks(frame, odd).collect()} == {(20, items[0][0])}  # "one two" is in no text
     kept = decontaminate.clean(frame, odd)
     assert kept.columns == frame.columns and kept.count() == len(ODD)
     nothing = benchmark(spark, [])
