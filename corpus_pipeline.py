@@ -38,8 +38,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Record files of token ids; one row for each record read back."""
-    return records.encode_documents(docs, tokenizer("word_bpe_49k.json"))
+    """Record files of token ids in the order of the training sequence; one row for each record read back."""
+    return records.encode_documents(docs, tokenizer("word_bpe_49k.json"), order=records.stored_order())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
