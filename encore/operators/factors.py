@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from encore.operators import ranking
 from encore.operators.indexing import IndexModel, fit_index
+from encore.operators.topk import top_items
+from encore.operators.tuning import fold_of
 
 USER = "user_id"
 ITEM = "recording_id_index"
@@ -137,14 +139,33 @@ def explode_recommendations(recs: DataFrame, user_col: str = USER, item_col: str
     )
 
 
+def recommendation_arrays(
+    model: ALSModel, k: int = DEFAULT_K, users: DataFrame | None = None, user_col: str = USER, item_col: str = ITEM
+) -> DataFrame:
+    """``user, recommendations array<struct<item int, rating float>>`` of all users or the given ones.
+
+    The layout of ``recommendForAllUsers``; the exact search goes through the
+    items by norm instead of scoring all pairs of factor blocks.
+    """
+    factors = model.userFactors
+    if users is not None:
+        wanted = users.select(F.col(user_col).cast("int").alias("id")).distinct()
+        factors = factors.join(wanted, "id", "left_semi")
+    pair = F.arrays_zip(F.col("items").alias(item_col), F.col("scores").alias("rating"))
+    layout = f"array<struct<{item_col}:int,rating:float>>"
+    return top_items(factors, model.itemFactors, k).select(
+        F.col("id").alias(user_col), pair.cast(layout).alias("recommendations")
+    )
+
+
 def recommend_all(model: ALSModel, k: int = DEFAULT_K, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
     """Top-k items for every training user, long form (M5)."""
-    return explode_recommendations(model.recommendForAllUsers(k), user_col, item_col)
+    return explode_recommendations(recommendation_arrays(model, k, None, user_col, item_col), user_col, item_col)
 
 
 def recommend_for(model: ALSModel, users: DataFrame, k: int = DEFAULT_K, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
     """Top-k items for the given users, long form (M6)."""
-    return explode_recommendations(model.recommendForUserSubset(users.select(user_col).distinct(), k), user_col, item_col)
+    return explode_recommendations(recommendation_arrays(model, k, users, user_col, item_col), user_col, item_col)
 
 
 def prediction_arrays(recs: DataFrame, item_col: str = ITEM, user_col: str = USER) -> DataFrame:
@@ -180,16 +201,20 @@ def hits_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, user_co
     """Hits ``(user, pos)`` of long-form recommendations in the test rows, as SQL.
 
     Both inputs are registered as temp views and joined in Spark SQL; the
-    plan is the same as the DataFrame join.
+    plan is the same as the DataFrame join. The views are dropped once the
+    query is analysed: the returned frame holds their plans.
     """
     suffix = uuid.uuid4().hex
     preds, truth = f"predictions_{suffix}", f"groundtruth_{suffix}"
     recs_long.createOrReplaceTempView(preds)
     test.select(user_col, F.col(item_col).cast("double").alias(item_col)).distinct().createOrReplaceTempView(truth)
-    return spark.sql(
+    hits = spark.sql(
         f"SELECT p.{user_col}, p.pos FROM {truth} g INNER JOIN {preds} p "
         f"ON g.{user_col} = p.{user_col} AND g.{item_col} = p.{item_col}"
     )
+    for view in (preds, truth):
+        spark.catalog.dropTempView(view)
+    return hits
 
 
 def ranking_scores_sql(spark: SparkSession, recs_long: DataFrame, test: DataFrame, k: int = DEFAULT_K, user_col: str = USER, item_col: str = ITEM) -> DataFrame:
@@ -219,9 +244,12 @@ def ground_truth(test: DataFrame, user_col: str = USER, item_col: str = ITEM, ra
     Kept long: labels are a set to every metric, so no per-user array is
     built. The sort is a range-partitioned global sort.
     """
-    return test.select(user_col, item_col, rating_col).orderBy(
-        F.col(user_col).asc(), F.col(rating_col).desc(), F.col(item_col).asc()
-    )
+    return test.select(user_col, item_col, rating_col).orderBy(*ground_truth_order(user_col, item_col, rating_col))
+
+
+def ground_truth_order(user_col: str = USER, item_col: str = ITEM, rating_col: str = RATING) -> list:
+    """Users ascending, a user's best-rated items first, equal ratings by item."""
+    return [F.col(user_col).asc(), F.col(rating_col).desc(), F.col(item_col).asc()]
 
 
 # ------------------------------------------------------------------ tuning
@@ -256,16 +284,23 @@ def tune(
     parallelism: int = 2,
     seed: int = 42,
     label_col: str = RATING,
+    fold_col: str | None = None,
 ) -> TuningResult:
     """Cross-validated grid search on RMSE over a one-stage pipeline.
 
-    The report has one row per grid point: its parameters and mean RMSE over
+    Folds are those of ``fold_col``, or of the hash point of (user, song), so
+    they do not depend on the layout of ``train``. ``tuning.grid_search`` is
+    the form for long grids: it resumes. The report has one row per grid point: its parameters and mean RMSE over
     the folds, plus ``is_best``. Parameters are read from the param maps, not
     from private model internals.
     """
     pipeline = Pipeline(stages=[estimator])
     evaluator = RegressionEvaluator(metricName="rmse", labelCol=label_col, predictionCol="prediction")
+    if fold_col is None:
+        fold_col = "_fold"
+        train = train.withColumn(fold_col, fold_of(folds, estimator.getUserCol(), estimator.getItemCol()))
     cv = CrossValidator(
+        foldCol=fold_col,
         estimator=pipeline,
         estimatorParamMaps=grid,
         evaluator=evaluator,

@@ -50,31 +50,28 @@ def prune_rare(
     One pass, not a k-core: a song may fall back under its bound after the
     user step, as in the original. Both bounds are strict.
 
-    Plan: the log is written once, so its source join runs once; the distinct
-    (song, user) pairs are built from it with a map-side combine and written;
-    both counts are counts of pairs. The log is then semi-joined to the two
-    short id tables. A hot song or user is a hot key of those joins only on
-    the log's side, which AQE splits.
+    Plan: the log is written once, so its source join runs once. Its distinct
+    (song, user) pairs are built with a map-side combine and written; both
+    bounds are counts of pairs, taken with joins of pairs to short id tables.
+    The log itself is joined once, to the kept pairs, and so exchanged once,
+    by (song, user): a hot song is spread by its users and a hot user by their
+    songs. (Bucketing the written log by song would leave a hot song in one
+    bucket, which one task reads.)
     """
+    pair = [item_col, user_col]
     log = materialize(listens, "log")
-    pairs = materialize(
-        log.where(F.col(item_col).isNotNull() & F.col(user_col).isNotNull()).select(item_col, user_col).distinct(),
-        "pairs",
-    )
+    pairs = materialize(log.select(*pair).dropna().distinct(), "pairs")
     songs = materialize(
         pairs.groupBy(item_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_users).select(item_col),
         "kept_songs",
     )
+    of_songs = pairs.join(songs, on=item_col, how="left_semi")
     users = materialize(
-        pairs.join(songs, on=item_col, how="left_semi")
-        .groupBy(user_col)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > min_items)
-        .select(user_col),
+        of_songs.groupBy(user_col).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_items).select(user_col),
         "kept_users",
     )
-    kept = log.join(songs, on=item_col, how="left_semi").join(users, on=user_col, how="left_semi")
-    return kept.select(*listens.columns)
+    kept = of_songs.join(users, on=user_col, how="left_semi")
+    return log.join(kept, on=pair, how="left_semi").select(*listens.columns)
 
 
 def user_item_ratings(

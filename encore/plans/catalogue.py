@@ -12,24 +12,36 @@ split keeps the hash points below 0.8 in train; ALS runs at the method's rank
 of 300 for 10 iterations.
 
 Factors differ from build to build in their last digits, so the model queries
-fit on all ratings and return what the method determines: which pairs are
-predicted, whom a list belongs to and what may stand in it, which grid points
-and models are compared, and whether the figures are in range.
+with a twin fit on all ratings and return what the method determines: that the
+factors solve every user's equations, which pairs are predicted, whom a list
+belongs to and what may stand in it, which grid points and models are compared,
+and whether the figures are in range. The ``_rows`` and ``_value`` queries return
+the lists, errors, metrics and reports themselves.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from encore.operators import factors, indexing, popularity, prep, profiling, ranking, splits
+from encore.operators import factors, fitcheck, indexing, popularity, prep, profiling, ranking, splits, tuning
 from encore.plans import oracle as O
-from encore.session import scratch_path
+from encore.session import kept_path, scratch_path
 from encore.sources import fixtures
-from encore.sources.parquet import load_dataset, materialize, read_table, write_table
+from encore.sources.parquet import (
+    file_states,
+    load_dataset,
+    materialize,
+    path_exists,
+    read_table,
+    scratch_scope,
+    side_by_side,
+    write_table,
+)
 
 DECIMALS = O.DECIMALS
 K = 100
@@ -40,8 +52,10 @@ USER_FRACTION = 0.8
 LOOKUP_USER = 53
 ALS_RANK = factors.DEFAULT_RANK
 ALS_ITER = factors.DEFAULT_MAX_ITER
-GRID_RANKS, GRID_ITERS, GRID_REGS = [5, 10], [5], [0.01, 0.1]
-COMPARE_RANK, COMPARE_ITER = 10, 5
+# the method's grid at its smallest rank; the job runs all 27 points
+GRID_RANKS, GRID_ITERS, GRID_REGS = [10], [10, 20, 30], [0.001, 0.01, 0.1]
+GRID_FOLDS, GRID_PARALLELISM = 2, 4
+COMPARE_RANK, COMPARE_ITER = 10, 10
 COMPARE_FRACTIONS = (0.5, 1.0)
 ALS_REG = 0.01
 ALS_SEED = 42
@@ -64,11 +78,12 @@ def written_logs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     For queries that read a pruned log more than once (the index fit and
     the ratings built with it), so the pruning runs once per split.
     """
-    return {split: materialize(pruned(spark, sf, split), f"{split}_listens") for split in ("train", "test")}
+    builds = [lambda s=split: materialize(pruned(spark, sf, s), f"{s}_listens") for split in ("train", "test")]
+    return dict(zip(("train", "test"), side_by_side(spark, *builds)))
 
 
 def song_index(spark: SparkSession, sf: str, logs: dict[str, DataFrame] | None = None) -> indexing.IndexModel:
-    logs = logs or {split: pruned(spark, sf, split) for split in ("train", "test")}
+    logs = logs or written_logs(spark, sf)
     return indexing.fit_shared_index(logs["train"], logs["test"], "recording_id", "recording_id_index")
 
 
@@ -82,17 +97,23 @@ def indexed_logs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 def ratings_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Train and test ratings over one shared index, from written logs."""
     logs = indexed_logs(spark, sf)
-    return tuple(prep.user_item_ratings(logs[split]) for split in ("train", "test"))
+    return tuple(side_by_side(spark, *[lambda s=split: prep.user_item_ratings(logs[s]) for split in ("train", "test")]))
 
 
 def ratings(spark: SparkSession, sf: str, split: str) -> DataFrame:
-    return ratings_pair(spark, sf)[0 if split == "train" else 1]
+    """Ratings of one split; the other split's log is needed for the shared index only."""
+    return prep.user_item_ratings(indexed_logs(spark, sf)[split])
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.round(c, DECIMALS).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def test_and_top(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The pruned test log and the train log's top list."""
+    return tuple(side_by_side(spark, lambda: pruned(spark, sf, "test"), lambda: train_top(spark, sf)))
+
+
 def train_top(spark: SparkSession, sf: str) -> DataFrame:
     return popularity.recommend(pruned(spark, sf, "train"), K)
 
@@ -125,7 +146,8 @@ def q_song_index(spark, sf):
 
 
 def q_train_test_union(spark, sf):
-    return prep.combine_splits(pruned(spark, sf, "train"), pruned(spark, sf, "test"))
+    both = side_by_side(spark, lambda: pruned(spark, sf, "train"), lambda: pruned(spark, sf, "test"))
+    return prep.combine_splits(*both)
 
 
 def q_user_item_ratings(spark, sf):
@@ -189,32 +211,35 @@ def q_popular_top100(spark, sf):
 
 
 def q_popularity_metrics(spark, sf):
-    return popularity.evaluate(pruned(spark, sf, "test"), train_top(spark, sf), K, "standard", DECIMALS)
+    return popularity.evaluate(*test_and_top(spark, sf), K, "standard", DECIMALS)
 
 
 def q_popularity_metrics_reference_order(spark, sf):
-    return popularity.evaluate(pruned(spark, sf, "test"), train_top(spark, sf), K, "reference", DECIMALS)
+    return popularity.evaluate(*test_and_top(spark, sf), K, "reference", DECIMALS)
 
 
 def q_popularity_precision_by_user(spark, sf):
-    per_user = popularity.per_user_scores(pruned(spark, sf, "test"), train_top(spark, sf), K, "standard")
+    per_user = popularity.per_user_scores(*test_and_top(spark, sf), K, "standard")
     return rounded(per_user, *ranking.METRIC_COLUMNS)
 
 
 def q_popularity_metrics_by_split(spark, sf):
-    labelled = materialize(splits.label_by_time(pruned(spark, sf, "train"), TIME_QUANTILE), "time_split")
+    labelled, test = side_by_side(
+        spark,
+        lambda: materialize(splits.label_by_time(pruned(spark, sf, "train"), TIME_QUANTILE), "time_split"),
+        lambda: pruned(spark, sf, "test"),
+    )
     train = labelled.where(F.col("split") == "train").drop("split")
     validation = labelled.where(F.col("split") == "test").drop("split")
     top = popularity.recommend(train, K)
-    held_out = {"train": train, "validation": validation, "test": pruned(spark, sf, "test")}
+    held_out = {"train": train, "validation": validation, "test": test}
     return popularity.evaluate_splits(held_out, top, K, "reference", DECIMALS)
 
 
 def q_ground_truth(spark, sf):
     """The sorted rows with their place in the sort, so that the order itself is compared."""
-    truth = factors.ground_truth(ratings(spark, sf, "test").withColumn("avg_rating", F.round("avg_rating", DECIMALS)))
-    order = [F.col("user_id").asc(), F.col("avg_rating").desc(), F.col("recording_id_index").asc()]
-    return indexing.dense_ranks(truth, order, "place")
+    truth = rounded(ratings(spark, sf, "test"), "avg_rating")
+    return indexing.dense_ranks(truth, factors.ground_truth_order(), "place")
 
 
 def q_parquet_round_trip(spark, sf):
@@ -241,28 +266,40 @@ def q_index_round_trip(spark, sf):
 # ---------------------------------------------------------- model queries
 
 
-# Written fits of this process, by application and folder: ratings and model.
-_FITS: dict[tuple[str, str], tuple[str, str, str]] = {}
+def _kept(spark: SparkSession, sf: str, name: str, parameters: str, write: Callable[[str], None]) -> str:
+    """The folder of a long run's tables over ``sf``, written by ``write`` unless it is complete.
+
+    The key holds the parameters and the input files with their sizes and
+    times, so a later process over the same tables finds the run, and changed
+    tables or parameters start another.
+    """
+    files = [f for table in ("lineitem", "orders", "part") for f in file_states(spark, f"{sf}/{table}.parquet")]
+    key = hashlib.md5("\n".join([parameters, *files]).encode()).hexdigest()
+    folder = kept_path(spark, f"{name}-{key}")
+    if not path_exists(spark, f"{folder}/done/_SUCCESS"):
+        write(folder)
+        write_table(spark.range(1), f"{folder}/done")
+    return folder
 
 
 def _als_fit(spark: SparkSession, sf: str) -> tuple[ALSModel, DataFrame, DataFrame]:
     """The fitted model with its train and test ratings, from written tables.
 
-    The first model query of an application over a folder fits and writes;
-    the others read what it wrote.
+    The first model query over a folder fits and writes; the others, and later
+    processes with the same checkpoint folder, read what it wrote.
     """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITS:
-        paths = tuple(scratch_path(spark, name) for name in ("als-train", "als-test", "als-model"))
-        for part, path in zip(ratings_pair(spark, sf), paths):
-            write_table(part, path)
+
+    def write(folder: str) -> None:
+        with scratch_scope(spark):
+            for part, name in zip(ratings_pair(spark, sf), ("train", "test")):
+                write_table(part, f"{folder}/{name}")
         estimator = factors.als(
             rank=ALS_RANK, max_iter=ALS_ITER, reg_param=ALS_REG, seed=ALS_SEED, blocks=factors.default_blocks(spark)
         )
-        factors.fit(estimator, read_table(spark, paths[0])).model.write().save(paths[2])
-        _FITS[key] = paths
-    train, test, model = _FITS[key]
-    return ALSModel.load(model), read_table(spark, train), read_table(spark, test)
+        factors.fit(estimator, read_table(spark, f"{folder}/train")).model.write().overwrite().save(f"{folder}/model")
+
+    folder = _kept(spark, sf, "als", f"{ALS_RANK} {ALS_ITER} {ALS_REG} {ALS_SEED}", write)
+    return ALSModel.load(f"{folder}/model"), read_table(spark, f"{folder}/train"), read_table(spark, f"{folder}/test")
 
 
 def _list_facts(recs: DataFrame, train: DataFrame) -> DataFrame:
@@ -304,6 +341,40 @@ def q_als_predicted_pairs(spark, sf):
     )
 
 
+def q_als_fit_residual(spark, sf):
+    """Every user's normal equations hold for the saved factors: no user is left unsolved."""
+    model, train, _ = _als_fit(spark, sf)
+    residuals = fitcheck.normal_residuals(model.userFactors, model.itemFactors, train, ALS_REG)
+    return fitcheck.fit_report(residuals).select("n_users", "n_ratings", "n_unsolved")
+
+
+def q_als_recommendation_rows(spark, sf):
+    """The lists themselves: user, place, song and score."""
+    model, _, _ = _als_fit(spark, sf)
+    return factors.recommend_all(model, K)
+
+
+def q_als_rmse_value(spark, sf):
+    model, _, test = _als_fit(spark, sf)
+    return factors.rmse_frame(factors.predict(model, test))
+
+
+def q_als_metric_values(spark, sf):
+    model, _, test = _als_fit(spark, sf)
+    recs = factors.recommend_for(model, test.select("user_id"), K)
+    return ranking.mean_metrics(factors.ranking_scores(recs, test, K), K)
+
+
+def q_als_fold_sizes(spark, sf):
+    """Ratings, users and songs of each fold of the grid search."""
+    train = ratings(spark, sf, "train").withColumn("fold", tuning.fold_of(GRID_FOLDS))
+    return train.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_ratings"),
+        F.countDistinct("user_id").alias("n_users"),
+        F.countDistinct("recording_id_index").alias("n_items"),
+    )
+
+
 def q_als_rmse(spark, sf):
     model, _, test = _als_fit(spark, sf)
     frame = factors.rmse_frame(factors.predict(model, test))
@@ -370,37 +441,64 @@ def _array_facts(pairs: DataFrame) -> DataFrame:
 def q_als_prediction_arrays(spark, sf):
     model, _, test = _als_fit(spark, sf)
     path = scratch_path(spark, "predictions")
-    arrays = factors.prediction_arrays(model.recommendForUserSubset(test.select("user_id").distinct(), K))
+    arrays = factors.prediction_arrays(factors.recommendation_arrays(model, K, test.select("user_id")))
     write_table(factors.ranking_pairs(arrays, test), path)
     return _array_facts(read_table(spark, path))
 
 
-def q_als_grid(spark, sf):
-    train, _ = ratings_pair(spark, sf)
+def _grid_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid's report, from the fits that are written one by one as they end."""
     est = factors.als(seed=ALS_SEED, blocks=factors.default_blocks(spark))
     grid = factors.param_grid(est, GRID_RANKS, GRID_ITERS, GRID_REGS)
-    report = factors.tune(spark, materialize(train, "grid-train"), est, grid, folds=2, parallelism=2, seed=ALS_SEED).report
+
+    def write(folder: str) -> None:
+        with scratch_scope(spark):
+            train = materialize(ratings(spark, sf, "train"), "grid_train")
+            fits = tuning.grid_search(spark, train, est, grid, f"{folder}/fits", GRID_FOLDS, GRID_PARALLELISM)
+            write_table(tuning.grid_report(fits), f"{folder}/report")
+
+    parameters = f"{GRID_RANKS} {GRID_ITERS} {GRID_REGS} {GRID_FOLDS} {ALS_SEED}"
+    return read_table(spark, _kept(spark, sf, "grid", parameters, write) + "/report")
+
+
+def q_als_grid(spark, sf):
+    report = _grid_report(spark, sf)
     least = report.agg(F.min("rmse")).scalar()
     return report.select(
         "rank",
         "max_iter",
         "reg_param",
         "alpha",
+        "n_held",
         F.col("rmse").between(0.0, 1.0).alias("rmse_in_range"),
         (F.col("is_best") == (F.col("rmse") == least)).alias("best_is_least"),
     )
 
 
-def q_model_comparison(spark, sf):
+def q_als_grid_rows(spark, sf):
+    return _grid_report(spark, sf)
+
+
+def _comparison(spark: SparkSession, sf: str) -> DataFrame:
     from encore.plans.compare import compare_models
 
-    train, test = (materialize(r, name) for r, name in zip(ratings_pair(spark, sf), ("compare-train", "compare-test")))
-    report = compare_models(
-        spark, train, test, fractions=COMPARE_FRACTIONS, k=K, rank=COMPARE_RANK, max_iter=COMPARE_ITER,
-        train_listens=indexed_logs(spark, sf)["train"],
-    )
+    def write(folder: str) -> None:
+        with scratch_scope(spark):
+            logs = indexed_logs(spark, sf)
+            train, test = (materialize(prep.user_item_ratings(logs[s]), f"compare_{s}") for s in ("train", "test"))
+            report = compare_models(
+                spark, train, test, fractions=COMPARE_FRACTIONS, k=K, rank=COMPARE_RANK, max_iter=COMPARE_ITER,
+                train_listens=logs["train"],
+            )
+            write_table(report, f"{folder}/report")
+
+    parameters = f"{COMPARE_FRACTIONS} {K} {COMPARE_RANK} {COMPARE_ITER}"
+    return read_table(spark, _kept(spark, sf, "comparison", parameters, write) + "/report")
+
+
+def q_model_comparison(spark, sf):
     popular = F.col("model") == "popularity"
-    return report.select(
+    return _comparison(spark, sf).select(
         "model",
         "fraction",
         "n_ratings",
@@ -411,6 +509,10 @@ def q_model_comparison(spark, sf):
     )
 
 
+def q_model_comparison_rows(spark, sf):
+    return _comparison(spark, sf)
+
+
 # ------------------------------------------------------------------- SQL
 
 
@@ -630,14 +732,17 @@ FROM test5_ratings t JOIN (SELECT user_id, avg(avg_rating) AS mean FROM train5_r
     + f"""SELECT user_id, CAST({_N_ITEMS} AS INTEGER) AS n_predictions, CAST({_N_ITEMS} AS INTEGER) AS n_scores,
        string_agg(CAST(CAST(recording_id_index AS BIGINT) AS VARCHAR), ',' ORDER BY recording_id_index) AS true_positives
 FROM test5_ratings WHERE user_id IN {_TRAIN_USERS} GROUP BY user_id""",
-    "als_grid": "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"({rank}::INTEGER, {steps}::INTEGER, {reg}::DOUBLE, {factors.DEFAULT_ALPHA}::DOUBLE, true, true)"
-        for rank in GRID_RANKS
-        for steps in GRID_ITERS
-        for reg in GRID_REGS
-    )
-    + ") grid(rank, max_iter, reg_param, alpha, rmse_in_range, best_is_least)",
+    "als_fit_residual": O.with_(*_RATINGS)
+    + "SELECT count(DISTINCT user_id) AS n_users, count(*) AS n_ratings, 0::BIGINT AS n_unsolved FROM train5_ratings",
+    "als_fold_sizes": O.with_(*_RATINGS)
+    + f"""SELECT CAST(floor((('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':' || CAST(CAST(recording_id_index AS BIGINT) AS VARCHAR)), 1, 13))::BIGINT
+         / CAST(power(2, 52) AS DOUBLE)) * {GRID_FOLDS}) AS INTEGER) AS fold,
+       count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT recording_id_index) AS n_items
+FROM train5_ratings GROUP BY 1""",
+    "als_grid": O.with_(*_RATINGS)
+    + f"""SELECT p.rank, p.max_iter, p.reg_param, {factors.DEFAULT_ALPHA}::DOUBLE AS alpha, r.n AS n_held, true AS rmse_in_range, true AS best_is_least
+FROM (SELECT * FROM (SELECT unnest({GRID_RANKS}) AS rank), (SELECT unnest({GRID_ITERS}) AS max_iter),
+  (SELECT unnest({GRID_REGS}::DOUBLE[]) AS reg_param)) p, (SELECT count(*) AS n FROM train5_ratings) r""",
     "model_comparison": _sql_comparison(),
 }
 
@@ -684,4 +789,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_prediction_arrays": q_als_prediction_arrays,
     "als_grid": q_als_grid,
     "model_comparison": q_model_comparison,
+    "als_fit_residual": q_als_fit_residual,
+    "als_fold_sizes": q_als_fold_sizes,
+    "als_recommendation_rows": q_als_recommendation_rows,
+    "als_rmse_value": q_als_rmse_value,
+    "als_metric_values": q_als_metric_values,
+    "als_grid_rows": q_als_grid_rows,
+    "model_comparison_rows": q_model_comparison_rows,
 }

@@ -3,7 +3,7 @@
     spark-submit run_job.py --data_dir DIR --task {1,2,3} [--version small]
 
 1. popularity baseline: top-k on train, ranking metrics on test;
-2. cross-validated ALS grid search on RMSE;
+2. cross-validated ALS grid search on RMSE, each fit written when done (``--grid_run``);
 3. ALS fit with fixed parameters, top-k for all users, ranking metrics.
 
 Shared prefix: load the train and test triples, canonical listens, pruning
@@ -22,21 +22,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import factors, indexing, popularity, prep, ranking, splits
-from encore.session import build_session, cluster_conf, ensure_checkpoint_dir
-from encore.sources.parquet import load_dataset, materialize, temporary_tables, write_table
+from encore.operators import factors, indexing, popularity, prep, ranking, splits, tuning
+from encore.session import build_session, cluster_conf, ensure_checkpoint_dir, scratch_path
+from encore.sources.parquet import load_dataset, materialize, scratch_scope, side_by_side, write_table
 
 INT_MAX = 2**31 - 1
 
 
 def prepared_logs(spark: SparkSession, args) -> tuple[DataFrame, DataFrame]:
     """Canonical, pruned train and test listens, materialised."""
-    logs = []
-    for split in ("train", "test"):
+
+    def log(split: str) -> DataFrame:
         interactions, tracks, _users = load_dataset(spark, version=args.version, split=split, data_dir=args.data_dir)
         listens = prep.canonical_listens(tracks, interactions)
-        logs.append(materialize(prep.prune_rare(listens, args.min_count, args.min_count), f"{split}_listens"))
-    return logs[0], logs[1]
+        return materialize(prep.prune_rare(listens, args.min_count, args.min_count), f"{split}_listens")
+
+    train, test = side_by_side(spark, lambda: log("train"), lambda: log("test"))
+    return train, test
 
 
 @dataclass
@@ -71,8 +73,13 @@ class Ratings:
 def ratings_tables(train: DataFrame, test: DataFrame) -> Ratings:
     """Indexed ratings of both splits; user ids are indexed when they exceed 32 bits."""
     index = indexing.fit_shared_index(train, test, "recording_id", "recording_id_index")
-    train_r = materialize(prep.user_item_ratings(index.transform(train)), "train_ratings")
-    test_r = materialize(prep.user_item_ratings(index.transform(test)), "test_ratings")
+
+    def ratings(log: DataFrame, name: str) -> DataFrame:
+        return materialize(prep.user_item_ratings(index.transform(log)), name)
+
+    train_r, test_r = side_by_side(
+        train.sparkSession, lambda: ratings(train, "train_ratings"), lambda: ratings(test, "test_ratings")
+    )
     bounds = train_r.unionByName(test_r).agg(F.min("user_id"), F.max("user_id")).first()
     if bounds[0] is None or (bounds[0] >= 0 and bounds[1] <= INT_MAX):
         return Ratings(train_r, test_r, index, None, "user_id")
@@ -114,12 +121,15 @@ def estimator(spark: SparkSession, data: Ratings, args):
 def task_tune(spark: SparkSession, data: Ratings, args) -> dict:
     est = estimator(spark, data, args)
     grid = factors.param_grid(est, args.grid_ranks, args.grid_iters, args.grid_regs, args.grid_alphas)
-    result = factors.tune(spark, data.train, est, grid, folds=args.folds, parallelism=args.parallelism)
-    best = factors.best_als(result.cv_model)
-    test_rmse = factors.rmse(factors.predict(best, data.test))
+    run = args.grid_run or scratch_path(spark, "grid")
+    fits = tuning.grid_search(spark, data.train, est, grid, run, folds=args.folds, parallelism=args.parallelism)
+    report = tuning.grid_report(fits)
+    best = report.where("is_best").first().asDict()
+    model = factors.fit(est.copy(grid[best["point"]]), data.train).model
+    test_rmse = factors.rmse(factors.predict(model, data.test))
     if args.output:
-        result.report.write.mode("overwrite").parquet(args.output)
-    return {"task": 2, "grid_points": len(grid), "best": result.best, "test_rmse": test_rmse}
+        report.write.mode("overwrite").parquet(args.output)
+    return {"task": 2, "grid_points": len(grid), "best": best, "test_rmse": test_rmse}
 
 
 def task_als(spark: SparkSession, data: Ratings, args) -> dict:
@@ -144,7 +154,7 @@ def task_als(spark: SparkSession, data: Ratings, args) -> dict:
 def main(args, spark: SparkSession) -> dict:
     ensure_checkpoint_dir(spark)
     # intermediate tables are read only inside this job
-    with temporary_tables(spark):
+    with scratch_scope(spark):
         train, test = prepared_logs(spark, args)
         if args.task == 1:
             result = task_popularity(train, test, args)
@@ -179,6 +189,7 @@ def parse_args(argv: list[str] | None = None):
     p.add_argument("--grid_regs", type=float, nargs="+", default=[0.001, 0.01, 0.1])
     p.add_argument("--grid_alphas", type=float, nargs="+", default=[0.01, 0.1, 0.5, 1.0])
     p.add_argument("--blocks", type=int, default=None, help="ALS user and item blocks (default: the parallelism)")
+    p.add_argument("--grid_run", default=None, help="task 2: folder of written fits; a second run over it resumes")
     p.add_argument("--folds", type=int, default=2)
     p.add_argument("--parallelism", type=int, default=2)
     p.add_argument("--output", default=None)

@@ -7,6 +7,7 @@ the shared folder that lineage cuts are written to.
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
@@ -23,6 +24,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # fits of a grid run beside each other, each in a pool of its own
+    "spark.scheduler.mode": "FAIR",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.kryoserializer.buffer.max": "1g",
     # checkpoint files of lineage cuts are removed once nothing refers to them
@@ -124,7 +127,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+# Paths handed out inside the innermost scope (``encore.sources.parquet.scratch_scope``).
+SCRATCH: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
+    """A fresh path under the shared checkpoint folder for a written table.
+
+    Inside a scratch scope the path belongs to that scope and is freed with it.
+    """
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root.rstrip("/"), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root.rstrip("/"), "tables", f"{name}-{uuid.uuid4().hex}")
+    scope = SCRATCH.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+def kept_path(spark: SparkSession, name: str) -> str:
+    """The path of a table that outlives queries and sessions, such as a fitted model."""
+    return os.path.join(ensure_checkpoint_root(spark), "kept", name)
+
+
+def ensure_checkpoint_root(spark: SparkSession) -> str:
+    """The folder the cluster names; a context's own checkpoint folder lies below it."""
+    own = ensure_checkpoint_dir(spark).rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return configured.rstrip("/") if configured else os.path.dirname(own)

@@ -9,12 +9,20 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
+import copy
 import os
+import queue
+import threading
+import weakref
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from encore.schemas import INTERACTIONS_SCHEMA, TRACKS_SCHEMA
-from encore.session import scratch_path
+from encore.session import SCRATCH, scratch_path
 
 
 def dataset_paths(split: str = "train", version: str = "small", data_dir: str = "") -> dict[str, str]:
@@ -62,24 +70,45 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Paths written by ``materialize``, per application, for ``temporary_tables``.
-_WRITTEN: dict[str, list[str]] = {}
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     A barrier between stages: later actions start from the written files
     instead of recomputing the plan, and the files outlive any executor.
-    The path is recorded so that ``temporary_tables`` can remove it.
+    The table is freed with the scratch scope it was written in.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     write_table(df, path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return read_table(spark, path)
 
 
+def side_by_side(spark: SparkSession, *builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of independent builds, run at the same time: their jobs share the cluster.
+
+    Each runs in a thread that inherits the caller's local properties and
+    scratch scope.
+    """
+    with ThreadPoolExecutor(len(builds)) as pool:
+        # each thread runs in a copy of the caller's context: same scope, same list of paths
+        waiting = [pool.submit(contextvars.copy_context().run, inheritable_thread_target(spark)(build)) for build in builds]
+        return [done.result() for done in waiting]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its Hadoop file system (shared storage or local)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def file_states(spark: SparkSession, path: str) -> list[str]:
+    """Name, size and time of the files of a table, in the order of their names."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listStatus(jpath)
+    return sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files)
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> int:
     """Delete paths through their Hadoop file system (shared storage or local)."""
     jvm = spark.sparkContext._jvm
@@ -93,17 +122,56 @@ def _delete(spark: SparkSession, paths: list[str]) -> int:
 
 
 @contextlib.contextmanager
-def temporary_tables(spark: SparkSession):
-    """Delete, on exit, the tables ``materialize`` wrote inside the block.
+def scratch_scope(spark: SparkSession):
+    """Delete, on exit, the scratch tables written inside the block.
+
+    For jobs: their intermediate tables are read only inside the job. Tables
+    written before the block (still read by other frames) stay.
+    """
+    paths: list[str] = []
+    token = SCRATCH.set(paths)
+    try:
+        yield paths
+    finally:
+        SCRATCH.reset(token)
+        _delete(spark, paths)
+
+
+# Scratch tables whose frames are gone, for the thread that deletes them.
+_UNUSED: queue.SimpleQueue = queue.SimpleQueue()
+_CLEANER_STARTED = threading.Event()
+
+
+def _clean() -> None:
+    while True:
+        spark, paths = _UNUSED.get()
+        with contextlib.suppress(Exception):  # the session may have ended meanwhile
+            _delete(spark, paths)
+
+
+def owning_scratch(build: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``build``'s frame, owning the scratch tables that were written for it.
 
-    For jobs: their intermediate tables are read only inside the job.
-    Tables written before the block (still read by other frames) stay.
+    The frame gets a session handle of its own, which every frame derived from
+    it shares; when the last of them is gone, so are the tables. A frame that
+    only takes this one in as a join's other side does not keep them: hold the
+    query's frame until its result is written.
     """
-    written = _WRITTEN.setdefault(spark.sparkContext.applicationId, [])
-    start = len(written)
+    paths: list[str] = []
+    token = SCRATCH.set(paths)
     try:
-        yield
+        frame = build(spark, sf_dir)
+    except BaseException:
+        _delete(spark, paths)
+        raise
     finally:
-        mine = written[start:]
-        del written[start:]
-        _delete(spark, mine)
+        SCRATCH.reset(token)
+    if not paths:
+        return frame
+    if not _CLEANER_STARTED.is_set():
+        _CLEANER_STARTED.set()
+        threading.Thread(target=_clean, daemon=True, name="encore-scratch").start()
+    handle = copy.copy(frame.sparkSession)
+    # only a queue is touched here: the last reference may go in the middle of another call to the JVM
+    weakref.finalize(handle, _UNUSED.put, (spark, paths)).atexit = False
+    return type(frame)(frame._jdf, handle)

@@ -117,13 +117,13 @@ def test_threshold_and_fraction_are_exact(spark):
         assert abs(share - fraction) < 0.003
 
 
-def test_temporary_tables_are_dropped(spark):
+def test_scratch_scope_are_dropped(spark):
     import os
 
-    from encore.sources.parquet import materialize, temporary_tables
+    from encore.sources.parquet import materialize, scratch_scope
 
     kept = materialize(spark.range(3), "kept")
-    with temporary_tables(spark):
+    with scratch_scope(spark):
         df = materialize(spark.range(5), "probe")
         path = df.inputFiles()[0].replace("file:", "")
         assert df.count() == 5 and os.path.exists(path)
