@@ -13,9 +13,12 @@ Elements and class names that say what they are bound the induction on both
 sides: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments never are content, and where a page has an
 ``article`` or ``main`` element the possible slots are the blocks inside it.
-(There only whole class names and roles count, no parts of them and no ids.)
+(There only whole class names and roles count, no parts of them and no ids; and
+reader comments go by their container: an element whose id or class says
+comments and nothing else, if it is a list by name or if a name or date stands
+in it. Headings are anchors and no containers.)
 Inside such an element a block is template only if it is the same in nine of
-ten of the different pages (five at least). Pages of near-equal content have
+ten of the different pages (three at least, so in all of up to nine). Pages of near-equal content have
 one vote together: those whose own blocks (not the same as the reference's)
 repeat half of their words (pairs of words from eight words on) from the
 reference vote with it, the others by the smallest hash of these. What copies
@@ -28,15 +31,16 @@ pages is spread over all tasks; votes are summed before they are shuffled.
 
 Defined results: null or empty html gives an empty text; a null url is a host
 of its own. Broken markup is read as far as it goes: an unclosed tag at the
-end is dropped, an unclosed element ends with its parent. A page whose every
-block is template (a copy of the reference) keeps its blocks. Repeated rows
-each give their row. Extra columns are ignored. An empty table gives an empty
+end is dropped, an unclosed element ends with its parent. A page that holds
+nothing but its layout's template has an empty text. Repeated rows each give
+their row. Extra columns are ignored. An empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import sys
 import zlib
@@ -54,7 +58,7 @@ from encore.llm.common import bounded_batches, materialize
 FEW_WORDS = 8  # texts under so many words are compared by words, others by pairs of words
 CONSTANT_SHARE = 0.5  # of a host's different pages in which a template node has one text
 CONSTANT_PAGES = 3  # and at least in so many
-INSIDE_SHARE, INSIDE_PAGES = 0.9, 5  # the same inside an article or main element
+INSIDE_SHARE, INSIDE_PAGES = 0.9, 3  # the same inside an article or main element (so all of up to nine)
 
 _RAW = "script|style|title|textarea|iframe|noframes|noembed|xmp"
 _TOKEN = re.compile(
@@ -63,6 +67,7 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _UNENDED = re.compile(r"<[a-zA-Z/!?]")
+_LOOSE = re.compile(r"<[a-zA-Z/!?][^>]*>")  # a tag with an open quote, as far as its first >
 _NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _CLASS = re.compile(r"(?<![\w-])(class)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _NUMBER = re.compile(r"[0-9]+")
@@ -87,7 +92,16 @@ BOILERPLATE = frozenset(
     "subscribe share sharing social related comment comments reply replies disqus widget toolbar pagination pager "
     "login signup search".split()
 )
+# Inside an article these name sections of its own as often; the votes decide.
+INSIDE = BOILERPLATE - frozenset("search related share sharing social".split())
+ROLES = INSIDE | frozenset(("search",))  # a role says what its element is
 HEADERS = frozenset("header masthead topbar".split())  # outside an article
+# Inside an article an id or class of these parts alone names reader comments:
+# by itself if it says that it is a list of them, else if somebody's name or a
+# date stands in it.
+COMMENTS = frozenset("comment comments reply replies response responses disqus".split())
+COMMENT_LISTS = frozenset("list section area thread wrap wrapper container box form count commentlist commentarea".split())
+SIGNED = frozenset("author avatar byline commenter date datetime posted time timestamp user username vcard".split())
 MAIN = frozenset(("article", "main"))
 NOT_MAIN = frozenset("comment comments reply replies ad ads advert sponsored promo related".split())
 # Elements that an opening tag of the same group ends.
@@ -106,7 +120,7 @@ _WALLS = frozenset("ul ol dl table div section article main body html form nav h
 class Node:
     """A block element or a run of text in one. A leaf has a text, others have children."""
 
-    __slots__ = ("tag", "label", "children", "text", "number", "content", "inside", "path")
+    __slots__ = ("tag", "label", "children", "text", "number", "content", "inside", "path", "signed")
 
     def __init__(self, tag: str, label: str, content: bool, inside: bool, path: int = 0):
         self.tag, self.label = tag, label
@@ -116,6 +130,7 @@ class Node:
         self.content = content  # nothing around it says that it is no content
         self.inside = inside  # within an article or main element
         self.path = path  # hash of the steps from the root
+        self.signed: bool | None = None  # of what may be reader comments: whether a name or date stands in it
 
 
 def _value(match: re.Match) -> str:
@@ -132,10 +147,36 @@ def _is_boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         if m[1].lower() == "id" and (inside or tag in HEADINGS):
             continue
         value = _value(m).lower()
+        if inside and m[1].lower() == "role" and not ROLES.isdisjoint(value.split()):
+            return True
         parts.update(value.split() if inside else _PART.findall(value))
     if tag in MAIN:
         return not parts.isdisjoint(NOT_MAIN)
-    return not parts.isdisjoint(BOILERPLATE) or (not inside and not parts.isdisjoint(HEADERS))
+    return not parts.isdisjoint(INSIDE if inside else BOILERPLATE) or (not inside and not parts.isdisjoint(HEADERS))
+
+
+def _comments(tag: str, attributes: str) -> bool | None:
+    """Whether an element of an article is named as reader comments: ``True`` by its name alone,
+    ``False`` if what stands in it decides, ``None`` if not."""
+    if not attributes or tag in HEADINGS or tag in MAIN:
+        return None
+    named = None
+    for m in _NAMED.finditer(attributes):
+        for token in _value(m).lower().split():
+            parts = set(_PART.findall(token))
+            if parts & {"commentlist", "commentarea"} or (parts & COMMENTS and parts & COMMENT_LISTS and parts <= COMMENTS | COMMENT_LISTS):
+                return True
+            if parts and parts <= COMMENTS:
+                named = False
+    return named
+
+
+def _signed(tag: str, attributes: str) -> bool:
+    """Whether a tag marks somebody's name or a date."""
+    if tag == "time":
+        return True
+    parts = {p for m in _CLASS.finditer(attributes or "") for p in _PART.findall(_value(m).lower())}
+    return not parts.isdisjoint(SIGNED)
 
 
 def _step(tag: str, names: str) -> bytes:
@@ -146,6 +187,13 @@ def _step(tag: str, names: str) -> bytes:
     )
 
 
+def _plain(piece: str) -> str:
+    """Text between two tags: what is left of broken ones dropped, references decoded."""
+    if "<" in piece:
+        piece = _LOOSE.sub("", piece)
+    return unescape(piece) if "&" in piece else piece
+
+
 def layout_of(page: str | None) -> int:
     """Hash of the path to the article or main element of a page's first content there (none: 0)."""
     return parse(page, True)[2]
@@ -159,6 +207,7 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
     open_hidden: list[str] = []
     deepest = 1
     layout = 0
+    doubtful: list[Node] = []  # open elements that may be reader comments
     page = page or ""
 
     def flush() -> None:
@@ -179,6 +228,8 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
         flush()
         while len(stack) > depth:
             done = stack.pop()
+            if doubtful and doubtful[-1] is done:
+                doubtful.pop()
             if len(done.children) == 1 and done.children[0].tag == "#text":
                 done.text = done.children[0].text
                 done.children = []
@@ -186,8 +237,7 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at and not hidden:
-            piece = page[at : token.start()]
-            buffer.append(unescape(piece) if "&" in piece else piece)
+            buffer.append(_plain(page[at : token.start()]))
         at = token.end()
         if layout_only and layout:
             return root, [], layout
@@ -195,6 +245,9 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
             continue  # a comment, a declaration or an element of raw text
         tag = token[3].lower()
         if not token[2]:
+            if doubtful and _signed(tag, token[4]):
+                for node in doubtful:
+                    node.signed = True
             if tag in INLINE:
                 if tag == "br":
                     if not hidden:
@@ -229,7 +282,11 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
             )
             if tag in MAIN and not node.content:
                 node.inside = parent.inside
+            if node.content and parent.inside:
+                node.signed = _comments(tag, token[4])
             if tag not in VOID:
+                if node.signed is False:
+                    doubtful.append(node)
                 parent.children.append(node)
                 stack.append(node)
                 deepest = max(deepest, len(stack))
@@ -247,10 +304,9 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
                     open_hidden.clear()
                     break
     if not hidden:
-        rest = page[at:]
+        rest = _LOOSE.sub("", page[at:])
         unended = _UNENDED.search(rest)
-        rest = rest[: unended.start()] if unended else rest
-        buffer.append(unescape(rest) if "&" in rest else rest)
+        buffer.append(_plain(rest[: unended.start()] if unended else rest))
     close(1)
     flush()
     if layout_only:
@@ -259,6 +315,11 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
     todo = [root]
     while todo:
         node = todo.pop()
+        if node.signed:
+            node.content = False
+        if not node.content:
+            for child in node.children:
+                child.content = False
         if node.text is not None:
             node.number = len(leaves)
             leaves.append(node)
@@ -266,7 +327,6 @@ def parse(page: str | None, layout_only: bool = False) -> tuple[Node, list[Node]
     return root, leaves, deepest
 
 
-
 def _match_children(a: Node, b: Node, memo: dict) -> int:
     """Weight of the best matching below two nodes of one label; the matched pairs go to ``memo``."""
     key = (id(a), id(b))
@@ -292,32 +352,51 @@ def _match_children(a: Node, b: Node, memo: dict) -> int:
         y_label = np.array([code(y.label) for y in ys])
         y_text = np.array([code("=" + y.text) if y.text is not None else -1 for y in ys])
         y_inner = [j for j, y in enumerate(ys) if y.text is None]
-        best = np.zeros(len(ys) + 1, dtype=np.int64)
-        taken = np.zeros((len(xs), len(ys)), dtype=bool)
-        skipped = np.zeros((len(xs), len(ys)), dtype=bool)
-        for i, x in enumerate(xs):
-            gain = (y_label == codes.get(x.label, -2)).astype(np.int64)
-            if x.text is not None:
-                gain += gain * (y_text == codes.get("=" + x.text, -2))
-            else:
-                for j in y_inner:
-                    if gain[j]:
-                        gain[j] += _match_children(x, ys[j], memo)
-            through = np.where(gain > 0, best[:-1] + gain, -1)
-            row = np.maximum.accumulate(np.maximum(through, best[1:]))
-            taken[i] = (through == row) & (through > 0)
-            skipped[i] = best[1:] == row  # leaving x out is as good
-            best = np.concatenate(([0], row))
-        weight += int(best[-1])
-        i, j = len(xs) - 1, len(ys) - 1
-        while i >= 0 and j >= 0:
-            if skipped[i, j]:
-                i -= 1
-            elif taken[i, j]:
-                pairs.append((xs[i], ys[j]))
-                i, j = i - 1, j - 1
-            else:
-                j -= 1
+
+        def rows(first: int, last: int, best: np.ndarray, keep: bool):
+            """Best weights behind ``xs[first:last]``, and for each cell whether it was taken or skipped."""
+            taken = np.zeros((last - first, len(ys)) if keep else (0, 0), dtype=bool)
+            skipped = np.zeros_like(taken)
+            for i in range(first, last):
+                x = xs[i]
+                gain = (y_label == codes.get(x.label, -2)).astype(np.int64)
+                if x.text is not None:
+                    gain += gain * (y_text == codes.get("=" + x.text, -2))
+                else:
+                    for j in y_inner:
+                        if gain[j]:
+                            gain[j] += _match_children(x, ys[j], memo)
+                through = np.where(gain > 0, best[:-1] + gain, -1)
+                row = np.maximum.accumulate(np.maximum(through, best[1:]))
+                if keep:
+                    taken[i - first] = (through == row) & (through > 0)
+                    skipped[i - first] = best[1:] == row  # leaving x out is as good
+                best = np.concatenate(([0], row))
+            return best, taken, skipped
+
+        # The choices of all cells are too many for long lists: the weights before every
+        # ``step`` rows are kept, and the choices made again, step by step from the end.
+        step = len(xs) if len(xs) * len(ys) <= _CELLS else max(1, math.isqrt(len(xs)))
+        edges = list(range(0, len(xs), step))
+        starts, best = [], np.zeros(len(ys) + 1, dtype=np.int64)
+        for first in edges:
+            starts.append(best)
+            if len(edges) > 1:
+                best = rows(first, min(first + step, len(xs)), best, False)[0]
+        j, final = len(ys) - 1, None
+        for first, start in zip(reversed(edges), reversed(starts)):
+            end, taken, skipped = rows(first, min(first + step, len(xs)), start, True)
+            final = int(end[-1]) if final is None else final
+            i = len(taken) - 1
+            while i >= 0 and j >= 0:
+                if skipped[i, j]:
+                    i -= 1
+                elif taken[i, j]:
+                    pairs.append((xs[first + i], ys[j]))
+                    i, j = i - 1, j - 1
+                else:
+                    j -= 1
+        weight += final
     memo[key] = (weight, pairs)
     return weight
 
@@ -341,6 +420,7 @@ def align(reference: Node, page: Node, depth: int) -> dict[int, tuple[int, bool]
     return found
 
 
+_CELLS = 4_000_000  # of an alignment whose choices are all kept
 _REFERENCES: OrderedDict[str, tuple[Node, int, np.ndarray, np.ndarray]] = OrderedDict()  # parsed, of this worker process
 _KEPT = 200
 
@@ -479,7 +559,7 @@ def extract(pages: DataFrame, share: float = CONSTANT_SHARE, least: int = CONSTA
     )
     texts = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
     varying = F.filter("blocks", lambda b: ~F.array_contains("template", b["key"]))
-    text = F.when(F.col("template").isNull() | (F.size(varying) == 0), texts(F.col("blocks"))).otherwise(texts(varying))
+    text = F.when(F.col("template").isNull(), texts(F.col("blocks"))).otherwise(texts(varying))
     return aligned.join(template, ["site", "marked"], "left").select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")
     )
