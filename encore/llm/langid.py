@@ -8,10 +8,11 @@ words; the result is the language with the highest posterior under equal
 priors, the posterior of the mean word (tempered by the root of the number of
 words) being the score.
 
-Training: a sample of at most ``max_rows`` labelled rows for each language,
-those with the smallest hash of id and text, with word and n-gram tables of at
-most ``max_words`` and ``max_grams`` entries, the most frequent. These bounds
-are parameters and bound what is broadcast. Prediction reads every whole text.
+Training: a sample of about ``max_rows`` labelled rows for each language, those
+with the smallest hash of id and text; all words and n-grams of the sample are
+kept. That bound is a parameter and bounds what is broadcast: an entry holds
+its counts in the languages where it occurs only. Prediction reads every whole
+text. Words are runs of letters (``\\p{L}``) on both sides.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0. With no labelled row at all, every text is ``und``. Each input row gives
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,22 +36,62 @@ from encore.llm.common import bounded_batches, materialize
 
 UNKNOWN = "und"
 MAX_ROWS = 4000
-MAX_WORDS = 60_000
-MAX_GRAMS = 120_000
 LONGEST = 5
 _MEMO = 200_000
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")  # letters, and numerals such as U+00B2
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    lower = text.lower()
+    found = _WORD.findall(lower)
+    return found if "".join(found).isalpha() else _LETTERS.findall(lower)
+
+
+class SparseTable:
+    """Log frequencies of entries, stored for the languages in which they occur.
+
+    ``classes`` numbers the entries' groups; ``absent`` has a row for each
+    group, the log frequency of an entry where it does not occur.
+    """
+
+    def __init__(self, counted: pd.DataFrame, languages: list[str], group):
+        place = {name: i for i, name in enumerate(languages)}
+        counted = counted.sort_values(["entry", "lang"], kind="stable")
+        codes, entries = pd.factorize(counted["entry"])
+        self.rows = {e: i for i, e in enumerate(entries)}
+        self.starts = np.searchsorted(codes, np.arange(len(entries) + 1))
+        self.langs = counted["lang"].map(place).to_numpy(dtype=np.int32)
+        groups = np.array([group(e) for e in entries], dtype=np.int64)
+        names, self.classes = np.unique(groups, return_inverse=True)
+        n = counted["n"].to_numpy(dtype=np.float64)
+        totals = np.zeros((len(names), len(languages)))
+        np.add.at(totals, (self.classes[codes], self.langs), n)
+        # half a count is added to each entry of a group, and to one unseen entry
+        share = totals + 0.5 * (np.bincount(self.classes, minlength=len(names)) + 1)[:, None]
+        self.absent = np.log(0.5 / share)
+        self.logs = np.log((n + 0.5) / share[self.classes[codes], self.langs])
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def get(self, entry: str) -> np.ndarray | None:
+        row = self.rows.get(entry)
+        if row is None:
+            return None
+        out = self.absent[self.classes[row]].copy()
+        held = slice(self.starts[row], self.starts[row + 1])
+        out[self.langs[held]] = self.logs[held]
+        return out
 
 
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, np.ndarray]  # log frequency in each language
-    grams: dict[str, np.ndarray]
+    words: SparseTable | dict[str, np.ndarray]  # log frequency in each language
+    grams: SparseTable | dict[str, np.ndarray]
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean log frequency of the longest known n-grams that cover a word."""
@@ -107,23 +149,14 @@ class Scorer:
         return self.model.languages[best], float(shares[best] / shares.sum())
 
 
-def _log_frequencies(counts: dict[str, list[float]], totals: np.ndarray) -> dict[str, np.ndarray]:
-    """Log frequency of each entry in each language, half a count added to each."""
-    size = len(counts) + 1
-    return {k: np.log((np.array(v) + 0.5) / (totals + 0.5 * size)) for k, v in counts.items()}
+def _grams(marked: Column, size: int) -> Column:
+    """All runs of ``size`` characters of a marked word."""
+    places = F.sequence(F.lit(1), F.length(marked) - (size - 1))
+    runs = F.transform(places, lambda at: F.substring(marked, at, F.lit(size)))
+    return F.when(F.length(marked) >= size, runs).otherwise(F.array().cast("array<string>"))
 
 
-def _counts_table(counted: DataFrame, key: str, languages: list[str], most: int) -> dict[str, list[float]]:
-    """The ``most`` most frequent entries as ``{entry: count for each language}`` (bounded by ``most``)."""
-    wide = counted.groupBy(key).agg(
-        F.sum("n").alias("all"),
-        *(F.sum(F.when(F.col("lang") == name, F.col("n")).otherwise(0)).alias(f"n{i}") for i, name in enumerate(languages)),
-    )
-    rows = wide.orderBy(F.col("all").desc(), F.col(key)).limit(most).collect()
-    return {r[key]: [float(r[f"n{i}"]) for i in range(len(languages))] for r in rows}
-
-
-def train(labelled: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
+def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """A model from ``labelled(doc_id, text, lang)``."""
     usable = labelled.filter("lang is not null and text is not null")
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -134,40 +167,19 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS, max_words: int = MAX_WO
     share = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, min(1.0, max_rows / n)).otherwise(share)
-    point = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
+    point = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
     sample = usable.filter(point < share)
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
     by_word = materialize(
         sample.select("lang", word.alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "words"
     )
     marked = F.concat(F.lit("<"), "word", F.lit(">"))
-    pieces = F.flatten(
-        F.array(
-            *(
-                F.when(
-                    F.length(marked) >= size,
-                    F.transform(
-                        F.sequence(F.lit(1), F.length(marked) - (size - 1)),
-                        lambda at, size=size: F.substring(marked, at, F.lit(size)),
-                    ),
-                ).otherwise(F.array().cast("array<string>"))
-                for size in range(1, LONGEST + 1)
-            )
-        )
-    )
+    pieces = F.flatten(F.array(*(_grams(marked, size) for size in range(1, LONGEST + 1))))
     by_gram = by_word.select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    totals = {r["lang"]: r["n"] for r in by_word.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    word_totals = np.array([float(totals.get(name, 0)) for name in languages])
-    words = _counts_table(by_word, "word", languages, max_words)
-    grams = _counts_table(by_gram, "gram", languages, max_grams)
-    # n-grams of one length share out the same mass in each language
-    by_size: dict[int, dict[str, list[float]]] = {}
-    for gram, counts in grams.items():
-        by_size.setdefault(len(gram), {})[gram] = counts
-    logs: dict[str, np.ndarray] = {}
-    for table in by_size.values():
-        logs |= _log_frequencies(table, np.array(list(table.values())).sum(axis=0))
-    return Model(languages, _log_frequencies(words, word_totals), logs)
+    # words share out one mass in each language, n-grams of one length another
+    words = SparseTable(by_word.select("lang", F.col("word").alias("entry"), "n").toPandas(), languages, lambda e: 0)
+    grams = SparseTable(by_gram.select("lang", F.col("gram").alias("entry"), "n").toPandas(), languages, len)
+    return Model(languages, words, grams)
 
 
 _SCORERS: dict[int, Scorer] = {}  # of this worker process, by broadcast

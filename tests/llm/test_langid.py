@@ -55,7 +55,71 @@ def test_odd_rows(spark):
     assert {(r["lang_pred"], r["score"]) for r in nothing.collect()} == {("und", 0.0)}
 
 
-def test_bounds_are_kept(spark):
-    labelled = docs(spark, [(i, f"alpha{i} beta gamma", "en" if i % 2 else "de") for i in range(200)])
-    model = langid.train(labelled, max_rows=20, max_words=10, max_grams=30)
-    assert len(model.words) <= 10 and len(model.grams) <= 30 and model.languages == ["de", "en"]
+def test_the_sample_is_bounded_and_all_its_entries_are_kept(spark):
+    labelled = docs(spark, [(i, f"alpha{chr(97 + i % 26)}{chr(97 + i // 26)} beta gamma", "en" if i % 2 else "de") for i in range(400)])
+    model = langid.train(labelled, max_rows=20)
+    assert model.languages == ["de", "en"] and 20 <= len(model.words) - 2 <= 60
+    assert len(langid.train(labelled).words) == 402
+    # rows without an id, or with one id, are sampled by their texts
+    same = labelled.withColumn("doc_id", F.lit(None).cast("long"))
+    assert 20 <= len(langid.train(same, max_rows=20).words) - 2 <= 60
+
+
+def test_texts_without_a_letter(spark):
+    labelled = docs(spark, [(1, "the house and the tree", "en"), (2, "das Haus und der Baum", "de")])
+    odd = ["²", "½ ¾", "①②", "Ⅷ", "٣", "_ 9", "🙂"]
+    found = langid.identify(docs(spark, list(enumerate([*odd, "² das Haus²und½"]))), labelled).collect()
+    by_id = {r["doc_id"]: r["lang_pred"] for r in found}
+    assert [by_id[i] for i in range(len(odd))] == ["und"] * len(odd) and by_id[len(odd)] == "de"
+    assert langid.words_of("² das Haus²und½ x_y") == ["das", "haus", "und", "x", "y"]
+
+
+def test_whole_operator_equals_brute_force(spark):
+    """Training counts, smoothing, backing off and the tempered posterior, written the direct way."""
+    import math
+
+    import regex
+
+    given = [(r["doc_id"], r["text"], r["lang"]) for r in table("documents")[:120]]
+    learnt = [r for r in given if r[0] % 3]
+    languages = sorted({lang for _, text, lang in learnt if lang is not None and text is not None})
+    words = lambda text: regex.findall(r"\p{L}+", (text or "").lower())
+    counts, grams = {}, {}
+    for _, text, lang in learnt:
+        for word in words(text) if lang is not None else ():
+            counts.setdefault(word, dict.fromkeys(languages, 0))[lang] += 1
+            marked = f"<{word}>"
+            for size in range(1, 6):
+                for at in range(len(marked) - size + 1):
+                    grams.setdefault(marked[at : at + size], dict.fromkeys(languages, 0))[lang] += 1
+
+    by_size = {n: {g: c for g, c in grams.items() if len(g) == n} for n in range(1, 6)}
+    totals = {n: {lang: sum(c[lang] for c in t.values()) for lang in languages} for n, t in by_size.items()}
+    word_totals = {lang: sum(c[lang] for c in counts.values()) for lang in languages}
+
+    def score(word, lang):
+        if word in counts:
+            return math.log((counts[word][lang] + 0.5) / (word_totals[lang] + 0.5 * (len(counts) + 1)))
+        marked, at, parts = f"<{word}>", 0, []
+        while at < len(marked):
+            size = next((n for n in range(min(5, len(marked) - at), 0, -1) if marked[at : at + n] in grams), 0)
+            if size:
+                held, table_ = grams[marked[at : at + size]], by_size[size]
+                parts.append(math.log((held[lang] + 0.5) / (totals[size][lang] + 0.5 * (len(table_) + 1))))
+            at += max(1, size - 1)
+        return sum(parts) / len(parts) if parts else 0.0
+
+    found = {r["doc_id"]: r for r in langid.identify(docs(spark, given), docs(spark, learnt)).collect()}
+    memo = {}
+    for doc_id, text, _ in given:
+        seen = words(text)
+        if not seen:
+            assert tuple(found[doc_id])[1:] == ("und", 0.0)
+            continue
+        sums = {}
+        for lang in languages:
+            sums[lang] = math.fsum(memo.setdefault((w, lang), None) or memo.update({(w, lang): score(w, lang)}) or memo[w, lang] for w in seen)
+        best = max(languages, key=lambda lang: sums[lang])
+        tempered = [(sums[lang] - sums[best]) / math.sqrt(len(seen)) for lang in languages]
+        assert found[doc_id]["lang_pred"] == best
+        assert abs(found[doc_id]["score"] - 1 / sum(map(math.exp, tempered))) < 1e-9
