@@ -59,7 +59,8 @@ _SENSITIVE_HINTS = (
 MIN_RUN = 16
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_RUN},}}={{0,2}}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
-_DOTTED = re.compile(rf"{_RUN.pattern}(?:\.{_RUN.pattern})*")
+# Runs that dots join, or a line break behind a run of 16 or more (an encoded block).
+_DOTTED = re.compile(rf"{_RUN.pattern}(?:(?:\.|(?<=[A-Za-z0-9+/_=-]{{{MIN_RUN}}})\r?\n[ \t]*){_RUN.pattern})*")
 REACH = 60  # code points between a sensitive word and a candidate, or the dotted token it is part of
 AROUND = 1500  # code points of text on each side that prime the dictionary
 MIN_NOVEL = 16
@@ -115,11 +116,16 @@ def _cost(text: bytes, primed, after: bytes = b"") -> int:
     return len(made.compress(after + text)) - len(made.compress(after))
 
 
-def novelty(text: str, start: int, end: int, after: str = "") -> int:
-    """Marginal compressed bytes of ``text[start:end]`` against what stands around it."""
+def novelty(text: str, start: int, end: int, after: str = "", copies: bool = True) -> int:
+    """Marginal compressed bytes of ``text[start:end]`` against what stands around it.
+
+    Without ``copies`` other places of the string itself are taken out, since
+    they make any string that stands twice look familiar.
+    """
     import zstandard
 
-    around = text[max(0, start - AROUND) : start] + "\n" + text[end : end + AROUND]
+    sides = [text[max(0, start - AROUND) : start], text[end : end + AROUND]]
+    around = "\n".join(sides if copies else (side.replace(text[start:end], "\n") for side in sides))
     primed = zstandard.ZstdCompressionDict(
         (IDENTIFIERS + around).encode("utf-8", "replace"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
@@ -182,7 +188,7 @@ def _candidates(text: str) -> list[tuple[int, int]]:
 
 def is_novel(text: str, start: int, end: int) -> bool:
     """Whether ``text[start:end]`` costs about as much as a random string."""
-    run, cost = text[start:end], novelty(text, start, end)
+    run, cost = text[start:end], novelty(text, start, end, copies=False)
     if cost < MIN_NOVEL or cost < RANDOM_SHARE * random_cost(run):
         return False
     if any(c.isdigit() for c in run):
@@ -190,7 +196,7 @@ def is_novel(text: str, start: int, end: int) -> bool:
     if run.isupper():  # names of constants; ORDINARY is in lower case
         run = run.lower()
         text = text[:start] + run + text[end:]
-    return novelty(text, start, end, ORDINARY) >= ORDINARY_SHARE * random_cost(run, ORDINARY)
+    return novelty(text, start, end, ORDINARY, copies=False) >= ORDINARY_SHARE * random_cost(run, ORDINARY)
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -103,3 +103,23 @@ def test_context_on_both_sides_and_along_a_dotted_token():
     assert secrets._scan_one(f"{a}{' ' * 61}access key")[3] == 0
     assert secrets._scan_one(f"Bearer {a}.{b}.{c}")[5] == "novel:7:47,novel:48:138,novel:139:182"
     assert secrets._scan_one(f"{a}.{b}.{c} is the bearer")[3] == 3
+
+
+def test_a_secret_that_stands_twice_is_reported_at_both_places():
+    key = "Zk8vQ2xPp7Lw9RtYb3NcHd5s"
+    text = f"the api key {key} goes here,\nand the api key {key} again, and {key[::-1]}"
+    found = secrets._scan_one(text)
+    at = [i for i in range(len(text)) if text.startswith(key, i)]
+    assert len(at) == 2 and all(f"novel:{i}:{i + len(key)}" in found[5].split(",") for i in at)
+
+
+def test_every_line_of_an_encoded_block_is_reported():
+    import random
+
+    rng = random.Random(8)
+    letters = secrets._LOWER + secrets._UPPER + secrets._DIGITS + "+/"
+    for end in ("\n", "\r\n", "\n    "):
+        lines = ["".join(rng.choices(letters, k=64)) for _ in range(9)] + ["".join(rng.choices(letters, k=30)) + "=="]
+        text = f"-----BEGIN RSA PRIVATE KEY-----{end}" + end.join(lines) + f"{end}-----END RSA PRIVATE KEY-----\n" + "plain words " * 30
+        spans = secrets._scan_one(text)[5].split(",")
+        assert all(f"novel:{text.index(line)}:{text.index(line) + len(line)}" in spans for line in lines)
