@@ -128,29 +128,50 @@ def _skew_frames(spark, hot):
         spark.read.parquet(hot[split]).repartition(12).write.parquet(f"{hot[split]}-12")
     train, test = (spark.read.parquet(f"{hot[split]}-12") for split in ("train", "test"))
     return {
-        "user_id": {
-            "time split": splits.split_by_time(train, 0.8)[0],
-            "pruning": prep.prune_rare(train, 5, 5),
-            "known rows": prep.known_test_rows(train, test, item_col="recording_id"),
-        },
-        "recording_id": {"pruning": prep.prune_rare(train, 5, 5)},
+        "time split": splits.split_by_time(train, 0.8)[0],
+        "known rows": prep.known_test_rows(train, test, item_col="recording_id"),
     }
 
 
-@pytest.mark.parametrize("column", ["user_id", "recording_id"])
-def test_hot_keys_of_joins_are_split(spark, tmp_path, column):
-    hot = _write_hot(spark, tmp_path, column)
+@pytest.fixture
+def splitting(spark):
     before = {k: spark.conf.get(k, None) for k in SPLITTING}
     for k, v in SPLITTING.items():
         spark.conf.set(k, v)
-    try:
-        for name, frame in _skew_frames(spark, hot)[column].items():
-            frame.collect()
-            final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-            assert "skew=true" in final, name
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _final(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_hot_keys_of_joins_are_split(spark, tmp_path, splitting):
+    hot = _write_hot(spark, tmp_path, "user_id")
+    for name, frame in _skew_frames(spark, hot).items():
+        assert "skew=true" in _final(frame), name
+
+
+@pytest.mark.parametrize("column", ["user_id", "recording_id"])
+def test_pruning_spreads_a_hot_key(spark, tmp_path, column):
+    """The log is exchanged by (song, user): a third of it on one of them lies in no single partition."""
+    log = spark.read.parquet(_write_hot(spark, tmp_path, column)["train"])
+    parts = log.repartition(16, "recording_id", "user_id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 16 and max(r["count"] for r in parts) < 0.15 * log.count()
+
+
+def test_pruning_splits_a_hot_pair(spark, tmp_path, splitting):
+    both = _hot_log(spark, "train", "user_id").withColumn(
+        "recording_id", F.when(F.col("user_id") == HOT_USER, HOT_SONG).otherwise(F.col("recording_id"))
+    )
+    # the hot song has a few more listeners, so that the pair is kept
+    others = both.where(F.col("user_id") != HOT_USER).withColumn("recording_id", F.lit(HOT_SONG))
+    more = both.where(F.col("user_id") != HOT_USER).limit(200).withColumn("user_id", F.lit(HOT_USER).cast("bigint"))
+    path = str(tmp_path / "pair.parquet")
+    both.unionByName(others.limit(300)).unionByName(more).repartition(12).write.parquet(path)
+    assert "skew=true" in _final(prep.prune_rare(spark.read.parquet(path), 5, 5))
 
 
 def test_null_users_belong_to_nobody(spark):
