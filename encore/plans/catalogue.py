@@ -52,8 +52,8 @@ USER_FRACTION = 0.8
 LOOKUP_USER = 53
 ALS_RANK = factors.DEFAULT_RANK
 ALS_ITER = factors.DEFAULT_MAX_ITER
-# the method's grid at its smallest rank; the job runs all 27 points
-GRID_RANKS, GRID_ITERS, GRID_REGS = [10], [10, 20, 30], [0.001, 0.01, 0.1]
+# the method's grid at its smallest rank and number of iterations; the job runs all 27 points
+GRID_RANKS, GRID_ITERS, GRID_REGS = [10], [10], [0.001, 0.01, 0.1]
 GRID_FOLDS, GRID_PARALLELISM = 2, 4
 COMPARE_RANK, COMPARE_ITER = 10, 10
 COMPARE_FRACTIONS = (0.5, 1.0)
