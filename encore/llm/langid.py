@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from encore.llm.common import bounded_batches, materialize
 
 UNKNOWN = "und"
-MAX_ROWS = 4000
+MAX_ROWS = 1000
 LONGEST = 5
 _MEMO = 200_000
 _WORD = re.compile(r"[^\W\d_]+")  # letters, and numerals such as U+00B2
@@ -59,11 +59,11 @@ class SparseTable:
 
     def __init__(self, counted: pd.DataFrame, languages: list[str], group):
         place = {name: i for i, name in enumerate(languages)}
-        counted = counted.sort_values(["entry", "lang"], kind="stable")
+        counted = counted.sort_values("entry", kind="stable")
         codes, entries = pd.factorize(counted["entry"])
         self.rows = {e: i for i, e in enumerate(entries)}
         self.starts = np.searchsorted(codes, np.arange(len(entries) + 1))
-        self.langs = counted["lang"].map(place).to_numpy(dtype=np.int32)
+        self.langs = counted["lang"].astype(str).map(place).to_numpy(dtype=np.int32)
         groups = np.array([group(e) for e in entries], dtype=np.int64)
         names, self.classes = np.unique(groups, return_inverse=True)
         n = counted["n"].to_numpy(dtype=np.float64)
@@ -156,6 +156,11 @@ def _grams(marked: Column, size: int) -> Column:
     return F.when(F.length(marked) >= size, runs).otherwise(F.array().cast("array<string>"))
 
 
+def _collected(counted: DataFrame, key: str) -> pd.DataFrame:
+    """Counts of the sample's entries, as compact columns."""
+    return counted.select("lang", F.col(key).alias("entry"), "n").toArrow().to_pandas(categories=["lang"])
+
+
 def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """A model from ``labelled(doc_id, text, lang)``."""
     usable = labelled.filter("lang is not null and text is not null")
@@ -177,8 +182,8 @@ def train(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     pieces = F.flatten(F.array(*(_grams(marked, size) for size in range(1, LONGEST + 1))))
     by_gram = by_word.select("lang", "n", F.explode(pieces).alias("gram")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # words share out one mass in each language, n-grams of one length another
-    words = SparseTable(by_word.select("lang", F.col("word").alias("entry"), "n").toPandas(), languages, lambda e: 0)
-    grams = SparseTable(by_gram.select("lang", F.col("gram").alias("entry"), "n").toPandas(), languages, len)
+    words = SparseTable(_collected(by_word, "word"), languages, lambda e: 0)
+    grams = SparseTable(_collected(by_gram, "gram"), languages, len)
     return Model(languages, words, grams)
 
 
