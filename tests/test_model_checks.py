@@ -219,3 +219,48 @@ def test_a_failed_query_leaves_no_scratch_table(spark):
     with pytest.raises(KeyError):
         owning_scratch(broken, spark, "x")
     assert tables(spark) <= before
+
+
+def test_large_rank_fit_gives_the_factors_of_spark(spark, fitted, monkeypatch):
+    ratings, _ = fitted
+    twice = ratings.unionByName(ratings.where("user_id < 3"))  # pairs may repeat
+    est = factors.als(rank=24, max_iter=3, reg_param=REG, blocks=4)  # users have 15 or 30 ratings
+    assert not factors._large(est) and factors._large(factors.als()) and not factors._large(factors.als(implicit_prefs=True))
+    plain = factors.fit(est, twice).model
+    monkeypatch.setattr(factors, "LARGE_RANK", 24)
+    monkeypatch.setattr(type(est), "fit", lambda self, df, f=type(est).fit: pytest.fail("iterated") if self.getMaxIter() else f(self, df))
+    found = factors.fit(est, twice).model
+    for side in ("userFactors", "itemFactors"):
+        want, got = ({r["id"]: r["features"] for r in getattr(m, side).collect()} for m in (plain, found))
+        assert want.keys() == got.keys()
+        assert max(np.abs(np.subtract(want[i], got[i])).max() for i in want) < 1e-4
+    assert found.rank == 24 and factors.predict(found, ratings).count() == 900
+
+
+def test_rows_with_many_ratings_are_summed_in_parts():
+    from encore.operators import leastsq
+
+    rng = np.random.default_rng(4)
+    v, r = rng.normal(size=(50, 8)).astype("float32"), rng.random(50)
+    want = np.linalg.solve(v.T.astype(float) @ v + REG * 50 * np.eye(8), v.T.astype(float) @ r)
+    assert np.allclose(leastsq._solve_long(v, np.arange(50), r, REG, 7), want)
+    assert np.allclose(leastsq.solve_rows(v[None].astype(float), r[None], REG)[0], want)
+    few = v[:5].astype(float)
+    assert np.allclose(leastsq.solve_rows(few[None], r[None, :5], REG)[0], np.linalg.solve(few.T @ few + REG * 5 * np.eye(8), few.T @ r[:5]))
+
+
+def test_candidates_of_a_block_are_few_and_exact():
+    rng = np.random.default_rng(5)
+    users, items = rng.normal(size=(40, 32)).astype("float32"), rng.normal(size=(6000, 32)).astype("float32")
+    norms = np.sqrt((items.astype(float) ** 2).sum(axis=1))
+    ids = np.lexsort((np.arange(6000), -norms))
+    best, merged = np.full((40, 20), topk._NOTHING), []
+    real = topk._merge
+    topk._merge = lambda b, rows, packed: (merged.append(len(rows)), real(b, rows, packed))
+    try:
+        topk._search_users(best, users, np.linalg.norm(users, axis=1), ids.astype("int32"), items[ids], norms[ids])
+    finally:
+        topk._merge = real
+    brute = brute_lists(users, items, 20)
+    assert [topk._ids(row).tolist() for row in best] == [[i for i, _ in brute[u]] for u in range(40)]
+    assert sum(merged) < 40 * 6000 / 5
