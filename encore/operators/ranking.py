@@ -81,11 +81,11 @@ def _run_sums(runs: DataFrame, k: int, user_col: Key, unit_runs: bool) -> DataFr
     prepared = runs.select(
         *_cols(user_col), "start", "length", "before", _precision_sum(start, length, F.lit(k)).alias("in_k")
     )
-    in_k = F.col("in_k")
+    in_k, none = F.col("in_k"), F.lit(0.0)
     return prepared.groupBy(*_cols(user_col)).agg(
         F.sum(in_k).alias("hits_at_k"),
-        F.sum(_ap_sum(start, length, before)).alias("ap_sum"),
-        F.sum(F.when(in_k > 0, _ap_sum(start, in_k, before)).otherwise(F.lit(0.0))).alias("ap_k_sum"),
+        F.sum(F.when(length > 0, _ap_sum(start, length, before)).otherwise(none)).alias("ap_sum"),
+        F.sum(F.when(in_k > 0, _ap_sum(start, in_k, before)).otherwise(none)).alias("ap_k_sum"),
         F.sum(gain_sum(start, in_k)).alias("dcg_k"),
     )
 
@@ -101,11 +101,15 @@ def per_user_metrics(
     declares that every run has length 1 (a simpler plan).
     """
     sums = _run_sums(runs, k, user_col, unit_runs)
+    return _measured(users.join(sums, on=_cols(user_col), how="left"), k, user_col)
+
+
+def _measured(sums: DataFrame, k: int, user_col: Key) -> DataFrame:
+    """Metrics from each user's ``n_labels`` and run sums (null: no hits)."""
     n = F.col("n_labels")
     has = n > 0
     zero = F.lit(0.0)
-    joined = users.join(sums, on=_cols(user_col), how="left")
-    return joined.select(
+    return sums.select(
         *_cols(user_col),
         n.alias("n_labels"),
         F.when(has, F.coalesce(F.col("hits_at_k"), F.lit(0)) / F.lit(float(k))).otherwise(zero).alias("precision_at_k"),
@@ -247,7 +251,7 @@ def _local_exclusive_sums(groups: list[str], sum_cols: list[str]):
 
 
 def exclusive_prefix_sums(
-    df: DataFrame, group_cols: str | list[str], order_cols: list[str], sum_cols: list[str]
+    df: DataFrame, group_cols: str | list[str], order_cols: list[str], sum_cols: list[str], keep: list[str] | None = None
 ) -> DataFrame:
     """Add ``<c>_before``: the sum of ``c`` over the group's earlier rows.
 
@@ -268,15 +272,20 @@ def exclusive_prefix_sums(
     4. the offsets, one row for each task, are broadcast (their number is the
        number of partitions) and added to the rows of the first groups. The
        rows themselves are not shuffled again.
+
+    ``keep`` names the columns that are returned besides the groups and sums;
+    the others end with the sort.
     """
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     keys = [*groups, *order_cols]
     group = F.struct(*groups)
+    carried = [c for c in df.columns if keep is None or c in {*groups, *sum_cols, *keep}]
     ensure_checkpoint_dir(df.sparkSession)
     ranged = (
         df.dropna(subset=groups)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
+        .select(*carried)
         .checkpoint(eager=True)
         .withColumn("_part", F.spark_partition_id())
     )
@@ -300,7 +309,7 @@ def exclusive_prefix_sums(
     ).where("_carried")
     first = group == F.col("_first")
     return local.join(F.broadcast(offsets), on="_part", how="left").select(
-        *df.columns,
+        *carried,
         *[
             (F.col(f"{c}_local") + F.when(first, F.col(f"{c}_offset")).otherwise(F.lit(0))).cast("bigint").alias(f"{c}_before")
             for c in sum_cols
@@ -338,12 +347,14 @@ def ordered_list_metrics(
         F.col("mult"),
         (F.col("mult") * F.coalesce(F.col("_hit"), F.lit(0))).cast("bigint").alias("hit_mult"),
     )
-    positioned = exclusive_prefix_sums(flagged, user, keys[len(user) :], ["mult", "hit_mult"])
-    runs = positioned.where(F.col("hit_mult") > 0).select(
+    # the order's columns are not needed once the rows are sorted
+    positioned = exclusive_prefix_sums(flagged, user, keys[len(user) :], ["mult", "hit_mult"], keep=[])
+    # rows without a hit are runs of length 0, so the sums have every user with an event
+    runs = positioned.select(
         *user,
         F.col("mult_before").alias("start"),
-        F.col("mult").cast("bigint").alias("length"),
+        F.col("hit_mult").alias("length"),
         F.col("hit_mult_before").alias("before"),
     )
-    users = collapsed.select(*user).distinct().select(*user, n_relevant.cast("bigint").alias("n_labels"))
-    return per_user_metrics(runs, users, k, user_col)
+    sums = _run_sums(runs, k, user_col, unit_runs=False)
+    return _measured(sums.withColumn("n_labels", n_relevant.cast("bigint")), k, user_col)

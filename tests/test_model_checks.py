@@ -264,3 +264,20 @@ def test_candidates_of_a_block_are_few_and_exact():
     brute = brute_lists(users, items, 20)
     assert [topk._ids(row).tolist() for row in best] == [[i for i, _ in brute[u]] for u in range(40)]
     assert sum(merged) < 40 * 6000 / 5
+
+
+def test_ordered_lists_carry_no_order_columns_past_their_sort(spark, monkeypatch):
+    from encore.operators import ranking
+
+    seen = []
+    real = ranking.exclusive_prefix_sums
+    monkeypatch.setattr(ranking, "exclusive_prefix_sums", lambda *a, **b: seen.append(real(*a, **b)) or seen[-1])
+    events = spark.createDataFrame(
+        [(1, 1.0, "a"), (1, 1.0, "a"), (1, 2.0, "b"), (1, 3.0, "c"), (2, 1.0, "b"), (None, 1.0, "a")], "user_id int, t double, item string"
+    )
+    relevant = spark.createDataFrame([("a",), ("c",)], "item string")
+    got = {r["user_id"]: r for r in ranking.ordered_list_metrics(events, relevant, 3, ["t", "item"]).collect()}
+    assert set(got) == {1, 2} and got[2]["map"] == 0.0 and got[2]["n_labels"] == 2  # a user without hits counts
+    assert got[1]["map"] == pytest.approx((1 + 1 + 3 / 4) / 2) and got[1]["precision_at_k"] == pytest.approx(2 / 3)
+    assert seen[0].columns == ["user_id", "mult", "hit_mult", "mult_before", "hit_mult_before"]
+    assert ranking.ordered_list_metrics(events.limit(0), relevant, 3, ["t", "item"]).count() == 0
