@@ -237,6 +237,26 @@ def test_large_rank_fit_gives_the_factors_of_spark(spark, fitted, monkeypatch):
     assert found.rank == 24 and factors.predict(found, ratings).count() == 900
 
 
+def test_large_rank_predictions_join_no_vector_to_a_pair(spark, fitted, monkeypatch):
+    ratings, model = fitted
+    pairs = ratings.withColumn("at", F.current_timestamp()).unionByName(
+        spark.createDataFrame([(999, 1.0, 0.5), (1, 999.0, None), (1, 1.0, None), (1, 1.0, None)], ratings.schema), allowMissingColumns=True
+    )
+    rows = lambda df: sorted((r["user_id"], r["recording_id_index"], str(r["avg_rating"]), str(r["prediction"])) for r in df.collect())
+    everything = model.copy().setColdStartStrategy("nan")
+    want, whole = model.transform(pairs), rows(everything.transform(pairs))
+    want, schema = rows(want), want.schema.simpleString()
+    monkeypatch.setattr(factors, "LARGE_RANK", 8)
+    monkeypatch.setattr(type(model), "transform", lambda *a: pytest.fail("joined"))
+    found = factors.predict(model, pairs)
+    assert rows(found) == want and len(want) < len(whole) and found.schema.simpleString() == schema
+    assert rows(factors.predict(everything, pairs)) == whole
+    assert factors.predict(model, pairs.limit(0)).count() == 0
+    for wrong in (None, 1.5):
+        with pytest.raises(Exception, match="must be integers"):
+            factors.predict(model, spark.createDataFrame([(1, wrong, 0.5)], ratings.schema)).collect()
+
+
 def test_rows_with_many_ratings_are_summed_in_parts():
     from encore.operators import leastsq
 
