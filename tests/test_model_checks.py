@@ -257,6 +257,22 @@ def test_large_rank_predictions_join_no_vector_to_a_pair(spark, fitted, monkeypa
             factors.predict(model, spark.createDataFrame([(1, wrong, 0.5)], ratings.schema)).collect()
 
 
+def test_vectors_travel_as_bytes(spark, fitted, monkeypatch):
+    from encore.operators import leastsq, vectors
+
+    ratings, model = fitted
+    packed = vectors.pack(model.userFactors)
+    assert dict(packed.dtypes)["features"] == "binary"
+    assert sorted(vectors.unpack(packed).collect()) == sorted(model.userFactors.collect())
+    needed = leastsq._needed(ratings.selectExpr("user_id u", "int(recording_id_index) i", "float(avg_rating) r"), "u", "i", 3, "needed")
+    assert dict(leastsq._half_step(packed, needed, 3, REG, 8).dtypes)["features"] == "binary"
+    # more blocks where the vectors would not fit, and the same rows
+    want = sorted(fitcheck.normal_residuals(model.userFactors, model.itemFactors, ratings, REG).collect())
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 2000)
+    got = sorted(fitcheck.normal_residuals(model.userFactors, model.itemFactors, ratings, REG).collect())
+    assert [tuple(r)[:2] for r in got] == [tuple(r)[:2] for r in want] and np.allclose([r["scale"] for r in got], [r["scale"] for r in want])
+
+
 def test_rows_with_many_ratings_are_summed_in_parts():
     from encore.operators import leastsq
 
