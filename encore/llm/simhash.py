@@ -10,7 +10,9 @@ segment is indexed once for each of its bits with that bit deleted, so both
 the equal and the one-bit-different case meet in an equality join. The join
 condition verifies the whole distance and lets each pair pass at its first
 meeting key only, so a pair comes out once. Fingerprints, not documents, are
-joined: a group of copies of any size is one row.
+joined: a group of copies of any size is one row. The join is sorted, never
+broadcast: Spark sizes the 64 keys of a fingerprint by the table they are made
+of, and would send that many times the size it expects through the driver.
 
 Defined results: null and blank texts have fingerprint zero, linked like any
 other. Rows with equal ids or texts each get their own row. A null id never
@@ -123,7 +125,7 @@ def links(prints: DataFrame, max_distance: int = 4) -> DataFrame:
             here = here & (variant < firsts[s + 1])
         first = F.when(in_segment[s] == 0, variant == firsts[s]).when(in_segment[s] == 1, here).otherwise(first)
     return a.join(
-        b,
+        b.hint("merge"),
         (F.col("a.variant") == F.col("b.variant"))
         & (F.col("a.bits") == F.col("b.bits"))
         & (F.col("a.fp") < F.col("b.fp"))

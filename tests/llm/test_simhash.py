@@ -5,6 +5,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from encore.llm import simhash
 from util import ODD, docs, rows, table
@@ -79,6 +80,15 @@ def test_links_lose_no_pair_and_repeat_none(spark, limit):
     assert len(found) == len(set(found)) and set(found) == wanted
 
 
+def test_keys_are_not_broadcast_however_small_their_table(spark, tmp_path):
+    path = str(tmp_path / "prints")
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(path)
+    found = simhash.links(spark.read.parquet(path))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(50)] + [(200, 201), (201, 202), (202, 200)]
