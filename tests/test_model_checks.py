@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from encore.operators import factors, fitcheck, prep, splits, topk, tuning
 from encore.session import ensure_checkpoint_dir
-from encore.sources.parquet import materialize, owning_scratch
+from encore.sources.parquet import materialize, owning_scratch, scratch_scope
 from paths import SF_SMOKE
 
 REG = 0.05
@@ -273,6 +273,54 @@ def test_vectors_travel_as_bytes(spark, fitted, monkeypatch):
     assert [tuple(r)[:2] for r in got] == [tuple(r)[:2] for r in want] and np.allclose([r["scale"] for r in got], [r["scale"] for r in want])
 
 
+def test_vectors_are_sent_in_waves_that_weigh_little_more_than_their_table(spark, fitted, monkeypatch):
+    from encore.operators import leastsq, vectors
+
+    assert vectors.n_waves(104, 10, 810_000, 23_200_000, 300) == (26, 10)  # 28 GB of 1 GB of vectors
+    assert vectors.n_waves(10, 10, 81_000, 2_300_000, 300) == (1, 10)
+    ratings, model = fitted
+    odd = ratings.unionByName(ratings.where("user_id < 3")).unionByName(ratings.where("recording_id_index = 7"))
+    est = factors.als(rank=24, max_iter=2, reg_param=REG, blocks=4)
+    monkeypatch.setattr(factors, "LARGE_RANK", 8)
+    want = factors.fit(est, odd).model
+    residuals = lambda: {r["user_id"]: r for r in fitcheck.normal_residuals(model.userFactors, model.itemFactors, odd, REG).collect()}
+    predicted = lambda: sorted(map(tuple, factors.predict(model, odd).collect()))
+    checked, scored = residuals(), predicted()
+    sent, real = [], leastsq.write_table
+    for module in (leastsq, vectors):
+        monkeypatch.setattr(module, "write_table", lambda df, path, mode="overwrite": sent.append((path, mode)) or real(df, path, mode))
+    monkeypatch.setattr(vectors, "WAVE_BYTES", 8000)
+    got = factors.fit(est, odd).model
+    assert sum(mode == "append" for _, mode in sent) >= 2 * 2
+    for side in ("userFactors", "itemFactors"):
+        a, b = ({r["id"]: r["features"] for r in getattr(m, side).collect()} for m in (want, got))
+        assert a.keys() == b.keys() and max(np.abs(np.subtract(a[i], b[i])).max() for i in a) < 1e-5
+    sent.clear()
+    again = residuals()
+    assert len(sent) > 2 and again.keys() == checked.keys()
+    assert all(again[u]["n"] == r["n"] and again[u]["scale"] == pytest.approx(r["scale"]) for u, r in checked.items())
+    assert predicted() == scored
+    assert factors.predict(model, odd.limit(0)).count() == 0
+
+
+def test_a_search_keeps_one_pass_on_disk(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    users, items = rng.normal(size=(40, 6)).astype("float32"), rng.normal(size=(3000, 6)).astype("float32")
+    items /= np.linalg.norm(items, axis=1, keepdims=True)  # equal norms: nobody is done before the last pass
+    before, held, real = tables(spark), [], topk._search
+    folder = os.path.join(ensure_checkpoint_dir(spark), "tables")
+
+    def search(*a):  # a pass begins: which tables hold vectors
+        held.append([t for t in tables(spark) - before if "features" in spark.read.parquet(f"{folder}/{t}").columns])
+        return real(*a)
+
+    monkeypatch.setattr(topk, "_search", search)
+    with scratch_scope(spark):
+        found = topk.top_items(factor_table(spark, users), factor_table(spark, items), 20, 1)
+        assert {r["id"]: list(zip(r["items"], r["scores"])) for r in found.collect()} == brute_lists(users, items, 20)
+    assert len(held) == 6 and all(len(names) <= 2 for names in held), held  # the sorted items and one pass
+
+
 def test_rows_with_many_ratings_are_summed_in_parts():
     from encore.operators import leastsq
 
