@@ -126,6 +126,25 @@ def test_folds_and_grid_do_not_depend_on_the_layout_and_resume(spark, fitted, tm
         tuning.grid_search(spark, ratings, est, factors.param_grid(est, [2, 4], [2], [0.1]), str(run))
 
 
+def test_a_grid_fit_joins_its_factors_to_the_held_ratings_once(spark, fitted, tmp_path, monkeypatch):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    ratings, _ = fitted
+    seen, real = [], RegressionEvaluator.evaluate
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(RegressionEvaluator, "evaluate", lambda self, df: seen.append((plan(df), df.columns, df.count())) or real(self, df))
+    before = tables(spark)
+    odd = ratings.withColumn("f", F.when(F.col("user_id") > 2, (F.col("user_id") + F.col("recording_id_index").cast("int")) % 2))  # some ratings in no fold
+    est = factors.als(rank=3, max_iter=2, blocks=2)
+    with scratch_scope(spark):
+        fits = tuning.grid_search(spark, odd, est, factors.param_grid(est, [2], [2], [0.1]), str(tmp_path / "run"), fold_col="f").collect()
+        assert not [t for t in tables(spark) - before if t.startswith("scored")]
+    assert len(seen) == 2 and all("Join" not in p and columns == ["avg_rating", "prediction"] for p, columns, _ in seen)
+    sizes = {f: odd.where(F.col("f") == f).count() for f in (0, 1)}
+    assert {r["fold"]: (r["n_fit"], r["n_held"]) for r in fits} == {f: (sizes[1 - f], n) for f, n in sizes.items()}
+    assert sum(sizes.values()) == 57 * 15 and sorted(r["n_scored"] for r in fits) == sorted(n for _, _, n in seen)
+
+
 def test_cross_validator_takes_the_folds_of_a_column(spark, fitted):
     ratings, _ = fitted
     est = factors.als(rank=2, max_iter=1, blocks=2)
